@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 VALID, INVALID = "VALID", "INVALID"
 
@@ -73,7 +74,8 @@ def render_codes(codes_column: Column) -> Column:
 
 def render_all(df: DataFrame, *columns: str) -> DataFrame:
     """Render code arrays as text, as the last step before a sink."""
-    return df.withColumns({c: render_codes(F.col(c)) for c in columns if c in df.columns})
+    arrays = [f.name for f in df.schema.fields if f.name in columns and isinstance(f.dataType, ArrayType)]
+    return df.withColumns({c: render_codes(F.col(c)) for c in arrays}) if arrays else df
 
 
 def error_type(errors: Column) -> Column:

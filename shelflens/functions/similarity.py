@@ -78,10 +78,9 @@ def score(left: Column, right: Column) -> Column:
     )
 
 
-def needed_lcs(left_length: Column, right_length: Column, threshold: int) -> Column:
+def needed_lcs(left_length: int, right_length: int, threshold: int) -> int:
     """Smallest common subsequence length that can reach the threshold."""
-    halves = 2 * threshold - 1
-    return F.floor((F.lit(halves) * (left_length + right_length) + 399) / 400).cast("int")
+    return -(-(2 * threshold - 1) * (left_length + right_length) // 400)
 
 
 def block_scores(text: str, choices: list[str], masks: dict[str, np.ndarray], lengths: np.ndarray) -> np.ndarray:

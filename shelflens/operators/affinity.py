@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelflens.config import AffinityConfig
+from shelflens.sources.shared import write_once
 
 CONFIG = AffinityConfig()
 
@@ -117,27 +118,16 @@ def total_transactions(header: DataFrame) -> Column:
     return header.agg(F.count("*").cast("double")).scalar()
 
 
-def _frequent_items(items: DataFrame, least: Column, distinct: bool) -> tuple[DataFrame, DataFrame]:
-    """Items that can still be part of a pair with ``least`` occurrences, and their products.
+def _with_bound(items: DataFrame, distinct: bool) -> DataFrame:
+    """Items with ``bound``, the most pairs that this product has with any other here.
 
-    No pair of product a occurs more often than sum(lines of a x most lines of any
-    product in that basket), which is the plain product count when nothing
-    repeats. Dropping products below that bound loses no pair. At most
-    (sum of the bounds / least) products remain, however many baskets there are.
+    A pair (a, b) has lines of a x lines of b occurrences in a basket, at most
+    lines of a x most lines of any product. That is 1 where nothing repeats.
     """
     if distinct:
-        bound = F.lit(1)
-    else:
-        most = F.max("quantity_lines").over(Window.partitionBy("transaction_id"))
-        items = items.withColumn("_most", most)
-        bound = F.col("quantity_lines") * F.col("_most")
-    frequent = (
-        items.groupBy("product_id")
-        .agg(F.count("*").alias("product_count"), F.sum(bound).alias("_bound"))
-        .filter(F.col("_bound") >= least)
-        .drop("_bound")
-    )
-    return items.join(frequent.select("product_id"), "product_id", "left_semi"), frequent
+        return items.withColumn("bound", F.lit(1).cast("long"))
+    most = F.max("quantity_lines").over(Window.partitionBy("transaction_id"))
+    return items.withColumn("bound", F.col("quantity_lines") * most)
 
 
 def affinity(
@@ -146,41 +136,54 @@ def affinity(
     """Scores of the product pairs that pass the three thresholds.
 
     Only the direction a -> b of a pair a <= b is tested.
+
+    Products whose bounds add up to less than the least pair count are dropped
+    before baskets are paired; this loses no pair. Of distinct items at most
+    (mean basket size / minimum support) products remain, however many baskets
+    there are. Items and remaining products are written once, so Spark knows the
+    size of the latter when it chooses how to join them.
     """
     total = total_transactions(header)
-    items = basket_items(lines)
-    kept, frequent = _frequent_items(items, F.lit(config.min_support) * total, config.distinct)
+    items = write_once(_with_bound(basket_items(lines), config.distinct), "basket_items")
+    frequent = write_once(
+        items.groupBy("product_id")
+        .agg(F.count("*").alias("product_count"), F.sum("bound").alias("bound"))
+        .filter(F.col("bound") >= F.lit(config.min_support) * total)
+        .select("product_id", "product_count"),
+        "frequent_products",
+    )
+    kept = items.drop("bound").join(frequent.select("product_id"), "product_id", "left_semi")
+    # Names of the few remaining products only, however long the product master is.
+    names = products.select("product_id", "product_name").join(frequent, "product_id", "left_semi")
 
-    def named(side: str) -> DataFrame:
-        return frequent.select(F.col("product_id").alias(f"product_{side}"), F.col("product_count").alias(f"count_{side}"))
+    def side(name: str) -> list[DataFrame]:
+        counted = frequent.toDF(f"product_{name}", f"count_{name}")
+        return [counted, names.toDF(f"product_{name}", f"product_{name}_name")]
 
     scores = (
         pair_counts(_pair_up(kept, config.distinct))
-        .filter(F.col("pair_count") / total >= config.min_support)
-        .join(named("a"), "product_a")
-        .join(named("b"), "product_b")
+        .withColumn("total", total)
+        .withColumn("support", F.col("pair_count") / F.col("total"))
+        .filter(F.col("support") >= config.min_support)
+    )
+    (counts_a, names_a), (counts_b, names_b) = side("a"), side("b")
+    return (
+        scores.join(counts_a, "product_a")
+        .join(counts_b, "product_b")
         .withColumns(
             {
-                "support": F.col("pair_count") / total,
                 "confidence_a_to_b": F.col("pair_count") / F.col("count_a"),
                 "confidence_b_to_a": F.col("pair_count") / F.col("count_b"),
-                "p_b": F.col("count_b") / total,
-                "p_a": F.col("count_a") / total,
+                "p_b": F.col("count_b") / F.col("total"),
+                "p_a": F.col("count_a") / F.col("total"),
             }
         )
         .withColumn("lift", F.col("confidence_a_to_b") / F.col("p_b"))
-        .filter(
-            (F.col("confidence_a_to_b") >= config.min_confidence) & (F.col("lift") >= config.min_lift)
-        )
+        .filter((F.col("confidence_a_to_b") >= config.min_confidence) & (F.col("lift") >= config.min_lift))
+        .join(names_a, "product_a", "left")
+        .join(names_b, "product_b", "left")
+        .select(*SCORE_COLUMNS)
     )
-    # Names of the few remaining products only, however long the product master is.
-    names = products.select("product_id", "product_name").join(
-        frequent.select("product_id"), "product_id", "left_semi"
-    )
-    for side in ("a", "b"):
-        renamed = names.toDF(f"product_{side}", f"product_{side}_name")
-        scores = scores.join(renamed, f"product_{side}", "left")
-    return scores.select(*SCORE_COLUMNS)
 
 
 def top_affinities(scores: DataFrame, n: int = CONFIG.top_n) -> DataFrame:
@@ -226,13 +229,11 @@ def basket_stats(lines: DataFrame, header: DataFrame, products: DataFrame) -> Da
         F.count("*").alias("total_line_items"),
         F.countDistinct("product_id").alias("unique_products_in_sales"),
     )
-    sold = sold.select(F.struct("*")).scalar()
     return stats.select(
         header.agg(F.count("*")).scalar().alias("total_transactions"),
-        sold["total_line_items"].alias("total_line_items"),
         products.agg(F.count("*")).scalar().alias("total_products"),
-        sold["unique_products_in_sales"].alias("unique_products_in_sales"),
         "*",
+        F.inline(F.array(sold.select(F.struct("*")).scalar())),
     )
 
 
@@ -252,9 +253,5 @@ def affinity_metrics(
     )
     above = affinity(lines, header, products, config).agg(F.count("*")).scalar()
     return rows.withColumns(
-        {
-            "pairs_above_thresholds": above,
-            "top_affinities": F.least(above, F.lit(config.top_n).cast("long")),
-            "total_transactions": header.agg(F.count("*")).scalar(),
-        }
-    )
+        {"pairs_above_thresholds": above, "total_transactions": header.agg(F.count("*")).scalar()}
+    ).withColumn("top_affinities", F.least("pairs_above_thresholds", F.lit(config.top_n).cast("long")))

@@ -15,6 +15,7 @@ from shelflens.functions.numbers import differs, holds, ratio, right_closed_bins
 from shelflens.functions.quantiles import exact_quantiles
 from shelflens.functions.rules import Rule, apply_rules, has_code, is_invalid, is_valid, render_all
 from shelflens.operators.inventory import keep_existing
+from shelflens.sources.shared import write_once
 
 CONFIG = FraudConfig()
 
@@ -185,9 +186,10 @@ def fraud_patterns(
 ) -> DataFrame:
     """Flags and points of the behaviour and value rules.
 
-    Counts are taken over ``refunds`` if given, else over ``validated``. Passing
-    the plain refunds spares the joins of the enrichment a second run; it gives
-    the same counts as long as the keys of the joined tables are unique.
+    Counts are taken over ``refunds`` if given, else over ``validated``. Where
+    the enrichment is not a written table, passing the plain refunds spares its
+    joins a second run; it gives the same counts as long as the keys of the
+    joined tables are unique.
     """
     base = validated if refunds is None else refunds
     df = join_behaviour(validated, refund_behaviour(base))
@@ -230,7 +232,7 @@ def amount_stats(refunds: DataFrame) -> DataFrame:
         F.avg("refund_amount").alias("mean_amount"),
         F.stddev_samp("refund_amount").alias("std_amount"),
         F.count("refund_amount").alias("amounts"),
-    ).withColumns({"q1": quartiles["q0"], "q3": quartiles["q1"]})
+    ).select("*", F.inline(F.array(quartiles)).alias("q1", "q3"))
 
 
 def statistical_anomalies(
@@ -248,14 +250,16 @@ def statistical_anomalies(
     df, detectors = scored, {}
     if config.zscore_enabled:
         spread = base.agg(F.struct(F.avg("refund_amount").alias("mean"), F.stddev_samp("refund_amount").alias("std")))
-        spread = spread.scalar()
-        zscore = F.when(holds(spread["std"] > 0), (amount - spread["mean"]) / spread["std"]).otherwise(0.0)
-        df = df.withColumn("zscore_amount", zscore)
+        df = df.withColumn("_spread", spread.scalar())
+        mean, std = F.col("_spread.mean"), F.col("_spread.std")
+        df = df.withColumn("zscore_amount", F.when(holds(std > 0), (amount - mean) / std).otherwise(0.0))
         detectors["ZSCORE_ANOMALY"] = holds(F.abs("zscore_amount") > config.zscore_threshold)
     if config.iqr_enabled:
-        quartiles = exact_quantiles(base, "refund_amount", [0.25, 0.75]).select(F.struct("q0", "q1")).scalar()
-        reach = (quartiles["q1"] - quartiles["q0"]) * config.iqr_multiplier
-        detectors["IQR_ANOMALY"] = holds((amount < quartiles["q0"] - reach) | (amount > quartiles["q1"] + reach))
+        quartiles = exact_quantiles(base, "refund_amount", [0.25, 0.75]).select(F.struct("q0", "q1"))
+        df = df.withColumn("_quartiles", quartiles.scalar())
+        q1, q3 = F.col("_quartiles.q0"), F.col("_quartiles.q1")
+        reach = (q3 - q1) * config.iqr_multiplier
+        detectors["IQR_ANOMALY"] = holds((amount < q1 - reach) | (amount > q3 + reach))
     if config.refund_ratio_enabled:
         df = df.withColumn(
             "customer_refund_ratio",
@@ -265,7 +269,7 @@ def statistical_anomalies(
             ),
         )
         detectors["HIGH_REFUND_RATIO"] = holds(F.col("customer_refund_ratio") > config.max_customer_refund_ratio)
-    return _add_flags(df, detectors) if detectors else df
+    return _add_flags(df, detectors).drop("_spread", "_quartiles") if detectors else df
 
 
 def severity(df: DataFrame) -> DataFrame:
@@ -277,9 +281,14 @@ def severity(df: DataFrame) -> DataFrame:
 def score_refunds(
     refunds: DataFrame, header: DataFrame, customers: DataFrame, products: DataFrame, config: FraudConfig = CONFIG
 ) -> DataFrame:
-    """Enrichment, validation, all detectors and severity in one lazy plan."""
-    validated = validate_refunds(enrich_refunds(refunds, header, customers, products), config)
-    return severity(statistical_anomalies(fraud_patterns(validated, config, refunds), config, refunds))
+    """Enrichment, validation, all detectors and severity.
+
+    The enriched refunds are written once: the behaviour counts and statistics
+    read a few columns of that table instead of repeating the joins.
+    """
+    enriched = write_once(enrich_refunds(refunds, header, customers, products), "enriched_refunds")
+    validated = validate_refunds(enriched, config)
+    return severity(statistical_anomalies(fraud_patterns(validated, config), config, enriched))
 
 
 def fraud_flags(

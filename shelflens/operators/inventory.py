@@ -142,13 +142,10 @@ def snapshot_metrics(snapshot: DataFrame, products: DataFrame, config: Inventory
     return tagged.agg(
         F.count("*").alias("total"),
         *count_codes(*fields, "NEGATIVE_STOCK", "MISMATCHED_PRODUCT_ID", "CAPACITY_EXCEEDED"),
-    ).withColumns(
-        {
-            "valid": kept["valid"],
-            "invalid": kept["invalid"],
-            "duplicates": F.col("total") - kept["valid"] - kept["invalid"],
-        }
-    )
+    ).select(
+        "*",
+        F.inline(F.array(kept)),
+    ).withColumn("duplicates", F.col("total") - F.col("valid") - F.col("invalid"))
 
 
 def restock_metrics(restock: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG) -> DataFrame:

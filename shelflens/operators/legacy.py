@@ -122,10 +122,8 @@ def units_metrics(df: DataFrame, config: LegacyConfig = CONFIG) -> DataFrame:
         F.count_if(is_valid()).alias("valid_records"),
         F.count_if(is_invalid()).alias("invalid_records"),
     )
-    return counts.withColumns(
-        {
-            "duplicates_removed": F.col("valid_records") - final["curated"],
-            "negative_stock_flags": final["negative_stock_flags"],
-            "capacity_exceeded_flags": final["capacity_exceeded_flags"],
-        }
+    return (
+        counts.select("*", F.inline(F.array(final)))
+        .withColumn("duplicates_removed", F.col("valid_records") - F.col("curated"))
+        .drop("curated")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from shelflens.functions import similarity
 from shelflens.functions.rules import has_code
 from shelflens.functions.similarity import block_masks, block_scores, long_score
+from shelflens.sources.shared import write_once
 
 # The block comparison runs in Python workers; its helpers travel with the job,
 # so the package need not be installed on the executors.
@@ -23,77 +25,105 @@ cloudpickle.register_pickle_by_value(similarity)
 # MAX_INDEXED; every other pair of lengths is compared block by block.
 MAX_DELETIONS = 4
 MAX_INDEXED = 24
-BLOCK = 4096
+BLOCK = 1024
 
 
-def _deletion_variants(df: DataFrame) -> DataFrame:
-    """Rows of ``text`` with ``drop`` characters removed in every way, as ``variant``."""
-    level = df.withColumns({"variant": F.col("text"), "first": F.lit(1)})
+def _plan(mine: list[int], theirs: list[int], threshold: int) -> tuple[list[tuple[int, int, int, int]], set[int]]:
+    """What pairs of text lengths need, from the few lengths that occur.
+
+    Gives (length, partner length, characters to drop, partner's to drop) for the
+    pairs searched through variants, and the lengths that also have a reachable
+    partner too long for that.
+    """
+    indexed, compared = [], set()
+    for a in mine:
+        for b in theirs:
+            keep = similarity.needed_lcs(a, b, threshold)
+            if keep > min(a, b):
+                continue
+            if max(a, b) <= MAX_INDEXED and max(a, b) - keep <= MAX_DELETIONS:
+                indexed.append((a, b, a - keep, b - keep))
+            else:
+                compared.add(a)
+    return indexed, compared
+
+
+def _deletion_variants(df: DataFrame, drops: list[tuple[int, int, int]]) -> DataFrame:
+    """Texts with characters removed in every way, as ``variant``.
+
+    ``drops`` lists (length, partner length, characters to drop). The places of
+    removed characters never decrease, so each choice of places occurs once.
+    """
+    by_length: dict[int, list[tuple[int, int]]] = {}
+    for length, partner, drop in drops:
+        by_length.setdefault(length, []).append((partner, drop))
+    entries = []
+    for length, wanted in sorted(by_length.items()):
+        structs = [F.struct(F.lit(p).alias("partner"), F.lit(d).alias("drop")) for p, d in wanted]
+        entries += [F.lit(length), F.array(*structs)]
+    level = df.select("*", F.inline(F.try_element_at(F.create_map(*entries), F.length("text")))).withColumns(
+        {"variant": F.col("text"), "first": F.lit(1)}
+    )
     variants = level.filter("drop = 0")
-    for drop in range(1, MAX_DELETIONS + 1):
+    for drop in range(1, max(d for _, _, d in drops) + 1):
         level = (
             level.filter((F.col("drop") >= drop) & (F.length("variant") >= F.col("first")))
             .withColumn("first", F.explode(F.sequence(F.col("first"), F.length("variant"))))
-            .withColumn(
-                "variant",
-                F.concat(F.expr("substring(variant, 1, first - 1)"), F.expr("substring(variant, first + 1)")),
-            )
+            .withColumn("variant", F.expr("concat(substring(variant, 1, first - 1), substring(variant, first + 1))"))
         )
         variants = variants.unionByName(level.filter(F.col("drop") == drop))
-    return variants.drop("first", "drop")
+    return variants.drop("first", "drop").withColumn("length", F.length("text"))
+
+
+def _by_variants(texts: DataFrame, choices: DataFrame, plan: list[tuple[int, int, int, int]], threshold: int) -> DataFrame:
+    """Scored pairs that reach the threshold, found by an equi-join on variants."""
+    tasks = texts.sparkSession.sparkContext.defaultParallelism
 
+    def spread(df: DataFrame) -> DataFrame:
+        # Few bytes, but much work per row: without this, a small table is one task.
+        return df.repartition(tasks, "text")
 
-def _length_pairs(df: DataFrame, other_lengths: Column, threshold: int) -> DataFrame:
-    """One row per text and reachable partner length, with the characters to drop."""
+    mine = _deletion_variants(spread(texts), [(a, b, drop) for a, b, drop, _ in plan])
+    theirs = _deletion_variants(spread(choices), [(b, a, drop) for a, b, _, drop in plan])
+    theirs = theirs.toDF(*[{"text": "other", "length": "partner", "partner": "length"}.get(c, c) for c in theirs.columns])
+    pairs = mine.join(theirs, ["variant", "length", "partner"])
     return (
-        df.withColumn("partner", F.explode(other_lengths))
-        .withColumn("keep", similarity.needed_lcs(F.length("text"), F.col("partner"), threshold))
-        .filter(F.col("keep") <= F.least(F.length("text"), F.col("partner")))
-        .withColumns(
-            {
-                "drop": F.length("text") - F.col("keep"),
-                "indexed": (F.length("text") - F.col("keep") <= MAX_DELETIONS)
-                & (F.col("partner") - F.col("keep") <= MAX_DELETIONS)
-                & (F.greatest(F.length("text"), F.col("partner")) <= MAX_INDEXED),
-            }
-        )
+        pairs.select("text", "other", "rank", "choice")
+        .distinct()
+        .withColumn("score", similarity.score(F.col("text"), F.col("other")))
+        .filter(F.col("score") >= threshold)
+        .select("text", "score", "rank", "choice")
     )
 
 
-def _compare_blocks(unknown: DataFrame, known: DataFrame) -> DataFrame:
-    """Best choice of every unknown text by comparing blocks of bounded size.
+def _by_blocks(texts: DataFrame, choices: DataFrame, text_blocks: int, choice_blocks: int) -> DataFrame:
+    """Best choice of every text, by comparing blocks of bounded size.
 
     Both sides are distinct and cut into blocks of about BLOCK texts by a hash.
-    A task sees one block of each and returns one row per unknown text.
+    A task sees one block of each and returns one row per text.
     """
 
-    def blocks_of(df: DataFrame) -> Column:
-        return df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK)).cast("int")).scalar()
+    def block(blocks: int) -> Column:
+        return F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int")
 
-    def block(column: str, blocks: Column) -> Column:
-        return F.pmod(F.xxhash64(column), blocks).cast("int")
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    def others(blocks: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), blocks - 1))
-
-    unknown_blocks, known_blocks = blocks_of(unknown), blocks_of(known)
-    left = unknown.select("text", block("text", unknown_blocks).alias("ub")).withColumn("kb", others(known_blocks))
-    right = known.select("text", "rank", "choice", block("text", known_blocks).alias("kb")).withColumn(
-        "ub", others(unknown_blocks)
-    )
+    left = texts.select("text", block(text_blocks).alias("tb"), every(choice_blocks).alias("cb"))
+    right = choices.select("text", "rank", "choice", block(choice_blocks).alias("cb"), every(text_blocks).alias("tb"))
 
     def best(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         theirs = theirs.sort_values("rank")
         fits = theirs["text"].str.len() <= 64
         short, long = theirs[fits], theirs[~fits]
-        texts = short["text"].tolist()
-        masks = block_masks(texts)
+        others = short["text"].tolist()
+        masks = block_masks(others)
         lengths = short["text"].str.len().to_numpy(dtype=np.int64)
         rows = []
         for text in mine["text"]:
             found = []
-            if texts:
-                scores = block_scores(text, texts, masks, lengths)
+            if others:
+                scores = block_scores(text, others, masks, lengths)
                 place = int(scores.argmax())
                 found.append((-int(scores[place]), short["rank"].iat[place], short["choice"].iat[place]))
             found += [
@@ -105,14 +135,23 @@ def _compare_blocks(unknown: DataFrame, known: DataFrame) -> DataFrame:
                 rows.append((text, -lowest[0], lowest[1], lowest[2]))
         return pd.DataFrame(rows, columns=["text", "score", "rank", "choice"])
 
-    rank_type = known.schema["rank"].dataType.simpleString()
+    rank_type = choices.schema["rank"].dataType.simpleString()
+    # A fixed number of partitions, for AQE would merge these small ones into one task.
+    tasks = min(text_blocks * choice_blocks, 8 * texts.sparkSession.sparkContext.defaultParallelism)
+    left, right = (df.repartition(tasks, "tb", "cb") for df in (left, right))
     return (
-        left.groupBy("ub", "kb")
-        .cogroup(right.groupBy("ub", "kb"))
+        left.groupBy("tb", "cb")
+        .cogroup(right.groupBy("tb", "cb"))
         .applyInPandas(best, f"text string, score int, rank {rank_type}, choice string")
     )
 
 
+def _lengths(df: DataFrame) -> list[int]:
+    """The lengths that occur; those beyond MAX_INDEXED count as one."""
+    rows = df.select(F.least(F.length("text"), F.lit(MAX_INDEXED + 1)).alias("n")).distinct().collect()
+    return sorted(row["n"] for row in rows)
+
+
 def best_matches(
     ids: DataFrame,
     known: DataFrame,
@@ -131,62 +170,50 @@ def best_matches(
     Two texts whose score reaches the threshold share a common subsequence of a
     known length, so both turn into the same text when the right characters are
     dropped. All accepted matches are therefore found by an equi-join on such
-    deletion variants. Scores below the threshold, and pairs too long for the
+    deletion variants. Scores below the threshold, and texts too long for the
     variants, need a comparison with every known value; only distinct texts that
     the join left open take that way. ``low_scores=False`` leaves the scores
-    below the threshold out.
+    below the threshold out, and with them that comparison.
+
+    The distinct unknown and known texts are written once, since the steps are
+    chosen by the text lengths that occur.
     """
     value = F.col(column).cast("string")
-    rank = F.col(order) if order else value
     unknown = ids.filter(value.isNotNull()).select(value.alias("id")).distinct()
-    unknown = unknown.withColumn("text", normalizer(F.col("id")))
+    unknown = write_once(unknown.withColumn("text", normalizer(F.col("id"))), "unknown")
     texts = unknown.select("text").distinct()
     choices = (
         known.filter(value.isNotNull())
-        .select(normalizer(value).alias("text"), rank.alias("rank"), value.alias("choice"))
+        .select(normalizer(value).alias("text"), (F.col(order) if order else value).alias("rank"), value.alias("choice"))
         .groupBy("text")
         .agg(F.min(F.struct("rank", "choice")).alias("first"))
         .select("text", "first.rank", "first.choice")
     )
-
-    def lengths(df: DataFrame) -> Column:
-        return df.agg(F.collect_set(F.length("text"))).scalar()
-
-    mine = _length_pairs(texts, lengths(choices), threshold)
-    theirs = _length_pairs(choices, lengths(texts), threshold).filter("indexed").drop("keep", "indexed")
-    pairs = (
-        _deletion_variants(mine.filter("indexed").drop("keep", "indexed"))
-        .withColumn("length", F.length("text"))
-        .withColumnsRenamed({"text": "mine", "partner": "partner_length"})
-        .join(
-            _deletion_variants(theirs)
-            .withColumn("partner_length", F.length("text"))
-            .withColumnsRenamed({"text": "theirs", "partner": "length"}),
-            ["variant", "length", "partner_length"],
-        )
-        .select("mine", "theirs", "rank", "choice")
-        .distinct()
-    )
-    accepted = (
-        pairs.withColumn("score", similarity.score(F.col("mine"), F.col("theirs")))
-        .filter(F.col("score") >= threshold)
-        .select(F.col("mine").alias("text"), "score", "rank", "choice")
-    )
-
-    too_long = mine.groupBy("text").agg(F.max(~F.col("indexed")).alias("too_long"))
-    open_texts = texts.join(too_long, "text", "left")
-    if low_scores:
-        open_texts = open_texts.join(
-            accepted.select("text").distinct().withColumn("found", F.lit(True)), "text", "left"
-        ).filter(F.coalesce("too_long", F.lit(False)) | F.col("found").isNull())
-    else:
-        open_texts = open_texts.filter("too_long")
-    compared = _compare_blocks(open_texts.select("text"), choices)
-    if not low_scores:
-        compared = compared.filter(F.col("score") >= threshold)
-
+    choices = write_once(choices, "known")
+
+    plan, long = _plan(_lengths(texts), _lengths(choices), threshold)
+    found = []
+    if plan:
+        found.append(write_once(_by_variants(texts, choices, plan, threshold), "accepted"))
+
+    length = F.least(F.length("text"), F.lit(MAX_INDEXED + 1))
+    is_long = length.isin(sorted(long)) if long else F.lit(False)
+    open_texts = texts
+    if plan and low_scores:
+        done = found[0].select("text").distinct().withColumn("done", F.lit(True))
+        open_texts = texts.join(done, "text", "left").filter(F.col("done").isNull() | is_long).select("text")
+    elif not low_scores:
+        open_texts = texts.filter(is_long)
+    if low_scores or long:
+        open_texts = write_once(open_texts, "open")
+        blocks = [max(1, -(-df.count() // BLOCK)) for df in (open_texts, choices)]
+        compared = _by_blocks(open_texts, choices, *blocks)
+        found.append(compared if low_scores else compared.filter(F.col("score") >= threshold))
+
+    if not found:
+        return unknown.select("id", F.lit(None).cast("string").alias("match"), F.lit(None).cast("int").alias("score")).limit(0)
     best = (
-        accepted.unionByName(compared)
+        reduce(DataFrame.unionByName, found)
         .groupBy("text")
         .agg(F.min(F.struct((-F.col("score")).alias("minus"), "rank", "choice")).alias("best"))
         .select(
