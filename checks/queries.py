@@ -752,12 +752,12 @@ def customer_segments(spark, sf):
 
 @query(
     "lifetime_value",
-    """SELECT customer_id, round(annual, 4) AS annual_revenue, round(annual * (rfm_score / 15) * 0.2, 4) AS clv
+    """SELECT customer_id, round(annual, 7) AS annual_revenue, round(annual * (rfm_score / 15) * 0.2, 7) AS clv
     FROM (SELECT *, monetary * 365 / greatest(coalesce(tenure_days, 0), 365) AS annual FROM rfm)""",
 )
 def lifetime_value(spark, sf):
     valued = cus.lifetime_value(cus.rfm_scores(_base(spark, sf)))
-    return _rounded(valued, 4, "annual_revenue", "clv").select("customer_id", "annual_revenue", "clv")
+    return _rounded(valued, 7, "annual_revenue", "clv").select("customer_id", "annual_revenue", "clv")
 
 
 @query(
