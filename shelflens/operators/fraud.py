@@ -2,7 +2,9 @@
 
 Behaviour counts are aggregates joined back rather than windows: a window would
 put all refunds of one customer into one task, while an aggregate is reduced
-before its shuffle and the join back is split by AQE where a key is hot.
+before its shuffle. The aggregate is written before the join: Spark then knows
+its size, broadcasts it only if small, and else shuffles both sides for this
+join, so that AQE can split a customer that holds many of the refunds.
 """
 
 from __future__ import annotations
@@ -163,7 +165,7 @@ def recent_refunds(refunds: DataFrame, keys: list[str], days: int) -> DataFrame:
 
 
 def _join_recent(df: DataFrame, refunds: DataFrame, keys: list[str], days: int, count: str, amount: str | None = None) -> DataFrame:
-    recent = recent_refunds(refunds, keys, days).withColumnsRenamed(
+    recent = write_once(recent_refunds(refunds, keys, days), "recent_refunds").withColumnsRenamed(
         {"recent_count": count, "recent_amount": amount or "_unused"}
     )
     df = df.withColumn("refund_day", F.to_date("refund_date"))
@@ -192,7 +194,7 @@ def fraud_patterns(
     joined tables are unique.
     """
     base = validated if refunds is None else refunds
-    df = join_behaviour(validated, refund_behaviour(base))
+    df = join_behaviour(validated, write_once(refund_behaviour(base), "refund_behaviour"))
     if config.refund_window_days is not None:
         df = _join_recent(df.drop("refund_count"), base, ["customer_id"], config.refund_window_days, "refund_count")
     if config.product_window_days is not None:

@@ -43,7 +43,13 @@ def keep_existing(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def known_products(products: DataFrame) -> DataFrame:
-    return products.select("product_id").dropna().distinct().withColumn("_known", F.lit(True))
+    """Distinct ids of the master.
+
+    Rebalanced, so that a join beyond broadcast size shuffles both of its sides
+    itself: only then does AQE split a product that holds many of the rows.
+    """
+    known = products.select("product_id").dropna().distinct().withColumn("_known", F.lit(True))
+    return known.hint("rebalance")
 
 
 def _unknown_product() -> Column:

@@ -232,7 +232,7 @@ def suggest_ids(quarantined: DataFrame, products: DataFrame, threshold: int = 85
     once, and the result joined back.
     """
     unmatched = has_code("MISMATCHED_PRODUCT_ID")
-    matches = best_matches(quarantined.filter(unmatched), products, threshold, **options)
+    matches = write_once(best_matches(quarantined.filter(unmatched), products, threshold, **options), "matches")
     wanted = F.when(unmatched, F.col("product_id").cast("string"))
     return (
         quarantined.withColumn("_wanted", wanted)

@@ -48,7 +48,8 @@ def _join_path(base: str, path: str) -> str:
 def _read(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
     if dataset.file_type == "csv":
         # Only the header line is read here: all columns stay text.
-        raw = spark.read.options(header=True, sep=dataset.delimiter, encoding=dataset.encoding).csv(path)
+        options = dict(header=True, sep=dataset.delimiter, encoding=dataset.encoding, escape='"')
+        raw = spark.read.options(**options).csv(path)
         return raw.select(*[F.when(~F.col(f"`{c}`").isin(NO_VALUE), F.col(f"`{c}`")).alias(c) for c in raw.columns])
     if dataset.file_type == "parquet":
         return spark.read.parquet(path)

@@ -26,7 +26,7 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    flat(df).write.mode("overwrite").option("header", True).csv(path)
+    flat(df).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def archive_raw(df: DataFrame, base: str, name: str) -> DataFrame:
