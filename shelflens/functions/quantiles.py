@@ -13,23 +13,21 @@ LOG_STEPS = 16384
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> DataFrame:
     """One row ``q0, q1, ...`` of linearly interpolated quantiles, nulls left out.
 
-    Equal values are counted first, with partial sums before the shuffle. A
-    histogram with logarithmic buckets then tells which buckets hold the wanted
-    ranks, and only the distinct values of those are put in order. The bucket
-    function is monotone, so the result is exact for any distribution, and no
-    step depends on how often a value occurs.
+    The first pass counts a histogram with logarithmic buckets, of which only
+    counts are shuffled, and finds the buckets that hold the wanted ranks. The
+    second pass counts the values of just those buckets and puts them in order.
+    The bucket function is monotone, so the result is exact for any
+    distribution, and no step depends on how often a value occurs.
     """
     values = (
         df.select(F.col(column).cast("double").alias("x"))
         .filter("x IS NOT NULL AND NOT isnan(x)")
-        .groupBy("x")
-        .agg(F.count("*").alias("n"))
         .withColumn("bucket", F.expr(f"floor(signum(x) * log1p(abs(x)) * {LOG_STEPS})"))
     )
     # The windows without a key see one row per bucket, a bounded number.
     buckets = (
         values.groupBy("bucket")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count("*").alias("n"))
         .selectExpr(
             "bucket",
             "n",
@@ -47,7 +45,12 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> D
 
     # At most two buckets per probability: a proven bound for the broadcast.
     picked = buckets.filter(" OR ".join(map(covers, ranks))).selectExpr("bucket", "total", "start AS bucket_start")
-    located = values.join(F.broadcast(picked), "bucket").selectExpr(
+    counted = (
+        values.join(F.broadcast(picked), "bucket")
+        .groupBy("bucket", "x")
+        .agg(F.count("*").alias("n"), F.min("total").alias("total"), F.min("bucket_start").alias("bucket_start"))
+    )
+    located = counted.selectExpr(
         "x", "n", "total", "bucket_start - n + sum(n) OVER (PARTITION BY bucket ORDER BY x ROWS UNBOUNDED PRECEDING) AS start"
     )
     ends = located.selectExpr(

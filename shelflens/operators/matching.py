@@ -229,8 +229,10 @@ def suggest_ids(quarantined: DataFrame, products: DataFrame, threshold: int = 85
     """Add ``suggested_product_id`` and ``fuzzy_match_score`` to rows with an unknown id.
 
     Ids are only suggested, never repaired. Each distinct unknown id is matched
-    once, and the result joined back.
+    once, and the result joined back. The rows are needed for both, so they are
+    written once.
     """
+    quarantined = write_once(quarantined, "quarantined")
     unmatched = has_code("MISMATCHED_PRODUCT_ID")
     matches = write_once(best_matches(quarantined.filter(unmatched), products, threshold, **options), "matches")
     wanted = F.when(unmatched, F.col("product_id").cast("string"))
