@@ -395,6 +395,10 @@ def units_metrics(spark, sf):
 # --- affinity --------------------------------------------------------------
 
 
+def _items(spark, sf) -> DataFrame:
+    return aff.basket_items(roles.lines(spark, sf))
+
+
 @query(
     "baskets",
     """SELECT transaction_id, string_agg(product_id || ' x' || n, ', ' ORDER BY product_id) AS items,
@@ -402,7 +406,7 @@ def units_metrics(spark, sf):
 )
 def baskets(spark, sf):
     text = F.transform("items", lambda i: F.concat(i["product_id"], F.lit(" x"), i["quantity_lines"].cast("string")))
-    return aff.baskets(roles.lines(spark, sf)).withColumn("items", F.array_join(text, ", "))
+    return aff.baskets(_items(spark, sf)).withColumn("items", F.array_join(text, ", "))
 
 
 @query(
@@ -411,17 +415,17 @@ def baskets(spark, sf):
     count(*) AS basket_size FROM lines GROUP BY 1 HAVING count(*) >= 2""",
 )
 def basket_product_lists(spark, sf):
-    return aff.product_lists(aff.baskets(roles.lines(spark, sf))).withColumn("products", F.array_join("products", ", "))
+    return aff.product_lists(aff.baskets(_items(spark, sf))).withColumn("products", F.array_join("products", ", "))
 
 
 @query("product_pairs", "SELECT * FROM pairs_list")
 def product_pairs(spark, sf):
-    return aff.product_pairs(roles.lines(spark, sf))
+    return aff.product_pairs(_items(spark, sf))
 
 
 @query("product_pairs_distinct", "SELECT * FROM pairs_distinct")
 def product_pairs_distinct(spark, sf):
-    return aff.product_pairs(roles.lines(spark, sf), distinct=True)
+    return aff.product_pairs(_items(spark, sf), distinct=True)
 
 
 @query(
@@ -442,11 +446,12 @@ def pair_counts(spark, sf):
 
 @query("product_counts", "SELECT * FROM product_count")
 def product_counts(spark, sf):
-    return aff.product_counts(aff.basket_items(roles.lines(spark, sf)))
+    return aff.product_counts(_items(spark, sf))
 
 
 def _affinity(spark, sf, config: AffinityConfig = AffinityConfig()) -> DataFrame:
-    return aff.affinity(roles.lines(spark, sf), roles.header(spark, sf), roles.brands(spark, sf), config)
+    items = write_once(_items(spark, sf), "basket_items")
+    return aff.affinity(items, roles.header(spark, sf), roles.brands(spark, sf), config)
 
 
 @query("affinity_scores", "SELECT * FROM affinity_list")
@@ -498,7 +503,8 @@ def basket_stats(spark, sf):
       (SELECT count(*) FROM header) AS total_transactions FROM pairs_list""",
 )
 def affinity_metrics(spark, sf):
-    return aff.affinity_metrics(roles.lines(spark, sf), roles.header(spark, sf), roles.brands(spark, sf))
+    items = write_once(_items(spark, sf), "basket_items")
+    return aff.affinity_metrics(items, roles.header(spark, sf), roles.brands(spark, sf))
 
 
 # --- refunds ---------------------------------------------------------------

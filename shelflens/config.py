@@ -74,6 +74,9 @@ DATASETS: dict[str, Dataset] = {
 }
 
 
+# Fields, keys, thresholds and patterns of the classes below.
+
+
 @dataclass(frozen=True)
 class InventoryConfig:
     snapshot_fields: tuple[str, ...] = ("store_id", "product_id", "snapshot_date", "snapshot_level")

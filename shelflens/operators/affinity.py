@@ -15,6 +15,7 @@ from shelflens.sources.shared import write_once
 
 CONFIG = AffinityConfig()
 
+# Columns of the score table, in order.
 SCORE_COLUMNS = [
     "product_a",
     "product_b",
@@ -42,15 +43,14 @@ def basket_items(lines: DataFrame) -> DataFrame:
     )
 
 
-def baskets(lines: DataFrame, min_size: int = 2) -> DataFrame:
+def baskets(items: DataFrame, min_size: int = 2) -> DataFrame:
     """One row per transaction with at least ``min_size`` lines.
 
     ``items`` is a sorted array of (product, lines) and has at most one entry per
     product, whatever the number of lines; ``basket_size`` counts the lines.
     """
     return (
-        basket_items(lines)
-        .groupBy("transaction_id")
+        items.groupBy("transaction_id")
         .agg(
             F.array_sort(F.collect_list(F.struct("product_id", "quantity_lines"))).alias("items"),
             F.sum("quantity_lines").alias("basket_size"),
@@ -85,13 +85,13 @@ def _pair_up(items: DataFrame, distinct: bool) -> DataFrame:
     )
 
 
-def product_pairs(lines: DataFrame, distinct: bool = False) -> DataFrame:
+def product_pairs(items: DataFrame, distinct: bool = False) -> DataFrame:
     """All product pairs of all baskets, a <= b, with ``pair_rows`` occurrences each.
 
     A product that occurs in several lines of a basket pairs with itself, and its
     other pairs count once per line; ``distinct=True`` counts it once.
     """
-    return _pair_up(basket_items(lines), distinct)
+    return _pair_up(items, distinct)
 
 
 def expand_pairs(pairs: DataFrame, step: int = 10_000) -> DataFrame:
@@ -131,7 +131,7 @@ def _with_bound(items: DataFrame, distinct: bool) -> DataFrame:
 
 
 def affinity(
-    lines: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
+    items: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
 ) -> DataFrame:
     """Scores of the product pairs that pass the three thresholds.
 
@@ -140,19 +140,19 @@ def affinity(
     Products whose bounds add up to less than the least pair count are dropped
     before baskets are paired; this loses no pair. Of distinct items at most
     (mean basket size / minimum support) products remain, however many baskets
-    there are. Items and remaining products are written once, so Spark knows the
-    size of the latter when it chooses how to join them.
+    there are. They are written, so Spark knows their size when it chooses how to
+    join them. Items are read twice and best passed as a written table.
     """
     total = total_transactions(header)
-    items = write_once(_with_bound(basket_items(lines), config.distinct), "basket_items")
     frequent = write_once(
-        items.groupBy("product_id")
+        _with_bound(items, config.distinct)
+        .groupBy("product_id")
         .agg(F.count("*").alias("product_count"), F.sum("bound").alias("bound"))
         .filter(F.col("bound") >= F.lit(config.min_support) * total)
         .select("product_id", "product_count"),
         "frequent_products",
     )
-    kept = items.drop("bound").join(frequent.select("product_id"), "product_id", "left_semi")
+    kept = items.join(frequent.select("product_id"), "product_id", "left_semi")
     # Names of the few remaining products only, however long the product master is.
     names = products.select("product_id", "product_name").join(frequent, "product_id", "left_semi")
 
@@ -238,20 +238,19 @@ def basket_stats(lines: DataFrame, header: DataFrame, products: DataFrame) -> Da
 
 
 def affinity_metrics(
-    lines: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
+    items: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
 ) -> DataFrame:
-    """One row of run counters: pair rows, unique pairs, pairs above the thresholds.
+    """One row of run counters: pair rows, pairs above the thresholds, pairs returned.
 
     Pair rows need no pairing: a basket of n lines has n(n-1)/2 of them.
     """
-    items = basket_items(lines)
     size = "quantity_lines" if not config.distinct else "1"
     rows = (
         items.groupBy("transaction_id")
         .agg(F.sum(F.expr(size)).alias("size"))
         .agg(F.sum(F.expr("size * (size - 1) div 2")).alias("total_product_pairs"))
     )
-    above = affinity(lines, header, products, config).agg(F.count("*")).scalar()
+    above = affinity(items, header, products, config).agg(F.count("*")).scalar()
     return rows.withColumns(
         {"pairs_above_thresholds": above, "total_transactions": header.agg(F.count("*")).scalar()}
     ).withColumn("top_affinities", F.least("pairs_above_thresholds", F.lit(config.top_n).cast("long")))

@@ -37,6 +37,7 @@ POINTS = {
 # Points of the two optional detectors are a choice of this library.
 OPTIONAL_POINTS = {"HIGH_VALUE_FREQUENT": 40, "OUTSIDE_WINDOW": 15}
 
+# Output columns, in order.
 FRAUD_COLUMNS = [
     "refund_id",
     "original_transaction_id",
@@ -60,6 +61,7 @@ FRAUD_COLUMNS = [
     "fraud_severity",
 ]
 
+# Output columns, in order.
 CLEAN_COLUMNS = [
     "refund_id",
     "original_transaction_id",

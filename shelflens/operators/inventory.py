@@ -19,6 +19,7 @@ from shelflens.functions.rules import (
 
 CONFIG = InventoryConfig()
 
+# Output columns, in order.
 FACT_COLUMNS = [
     "snapshot_id",
     "store_id",

@@ -12,6 +12,7 @@ from shelflens.operators.inventory import keep_existing
 
 CONFIG = LegacyConfig()
 
+# Output columns, in order.
 FACT_COLUMNS = [
     "Store_ID",
     "Product_ID",

@@ -19,6 +19,7 @@ from shelflens.operators import matching
 from shelflens.operators.metrics import all_metrics
 from shelflens.sources import sinks
 from shelflens.sources.readers import load_dataset
+from shelflens.sources.shared import scratch
 
 
 def load_inputs(spark: SparkSession, base: str, *names: str) -> dict[str, DataFrame]:
@@ -46,9 +47,10 @@ def run_inventory(
     written: dict[str, DataFrame | None] = {}
     for name, rows in (("inventory_snapshot", kept), ("restock_events", tagged)):
         invalid = rows.filter(is_invalid())
-        if config.fuzzy_enabled:
-            invalid = matching.suggest_ids(invalid, products, config.fuzzy_threshold)
-        written[name] = sinks.write_quarantine(inv.quarantine(invalid, name), out, name, config.also_save_csv)
+        with scratch(products.sparkSession):
+            if config.fuzzy_enabled:
+                invalid = matching.suggest_ids(invalid, products, config.fuzzy_threshold)
+            written[name] = sinks.write_quarantine(inv.quarantine(invalid, name), out, name, config.also_save_csv)
 
     groups = {
         "snapshot": inv.snapshot_metrics(snapshot, products, config),
@@ -72,8 +74,12 @@ def run_inventory(
             ]
         groups["quarantine"] = audit.agg(*counters)
     if config.sku_enabled:
-        checked = matching.check_sku(products, "sku", config.sku_pattern)
-        groups["sku"] = checked.agg(F.count_if(~F.col("sku_valid")).alias("non_standard"))
+        checks = {"products_sku": (products, "sku")}
+        checks["snapshot_product_id"] = (kept.filter(is_valid()), "product_id")
+        checks["restock_product_id"] = (tagged.filter(is_valid()), "product_id")
+        for name, (rows, column) in checks.items():
+            checked = matching.check_sku(rows, column, config.sku_pattern)
+            groups[f"sku.{name}"] = checked.agg(F.count_if(~F.col("sku_valid")).alias("non_standard"))
     sinks.write_report(all_metrics(groups), out, "inventory")
     return {
         "inventory_fact": fact,
@@ -88,11 +94,13 @@ def run_affinity(
     """Sales lines to baskets, pairs, affinity scores, recommendations and report."""
     header, lines = inputs["store_sales_header"], inputs["store_sales_line_items"]
     products = inputs["products"]
-    baskets = sinks.write_table(aff.baskets(lines), f"{out}/staging/transaction_baskets")
-    pairs = sinks.write_table(aff.product_pairs(lines, config.distinct), f"{out}/staging/product_pairs")
-    scores = sinks.write_curated(
-        aff.affinity(lines, header, products, config), out, "affinity_scores", config.also_save_csv
-    )
+    items = sinks.write_table(aff.basket_items(lines), f"{out}/staging/basket_items")
+    baskets = sinks.write_table(aff.baskets(items), f"{out}/staging/transaction_baskets")
+    pairs = sinks.write_table(aff.product_pairs(items, config.distinct), f"{out}/staging/product_pairs")
+    with scratch(lines.sparkSession):
+        scores = sinks.write_curated(
+            aff.affinity(items, header, products, config), out, "affinity_scores", config.also_save_csv
+        )
     top = sinks.write_curated(aff.top_affinities(scores, config.top_n), out, "top_affinities", config.also_save_csv)
     groups = {
         "baskets": aff.basket_stats(lines, header, products),
@@ -116,10 +124,9 @@ def run_fraud(
         f"{out}/staging/enriched_refunds",
     )
     validated = frd.validate_refunds(enriched, config)
-    scored = sinks.write_table(
-        frd.severity(frd.statistical_anomalies(frd.fraud_patterns(validated, config), config, validated)),
-        f"{out}/staging/validated_refunds",
-    )
+    with scratch(customers.sparkSession):
+        flagged = frd.statistical_anomalies(frd.fraud_patterns(validated, config), config, validated)
+        scored = sinks.write_table(frd.severity(flagged), f"{out}/staging/validated_refunds")
     tables = {
         "fraud_flags": frd.fraud_flags(scored, config),
         "suspicious_customers": frd.suspicious_customers(scored, customers),

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from shelflens.functions.rules import is_invalid, is_valid, render_all
 from shelflens.operators.inventory import quarantine
-from shelflens.sources.shared import write_once
 
 
 def split_stream(
@@ -27,7 +26,7 @@ def split_stream(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        tagged = write_once(tag(batch), f"{dataset}-batch")
+        tagged = tag(batch).persist()  # one micro-batch, used twice
         parts = {
             "staging": tagged.filter(is_valid()),
             "quarantine": quarantine(tagged.filter(is_invalid()), dataset),
@@ -35,5 +34,6 @@ def split_stream(
         for layer, rows in parts.items():
             path = f"{out}/{layer}/{dataset}/batch={number}"
             render_all(rows, "validation_errors").write.mode("overwrite").parquet(path)
+        tagged.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -29,11 +29,11 @@ def brute_force(baskets, total, config):
 
 def frames(spark, baskets, total):
     data = [(t, p) for t, basket in enumerate(baskets) for p in basket]
-    lines = spark.createDataFrame(data, "transaction_id long, product_id string")
+    items = aff.basket_items(spark.createDataFrame(data, "transaction_id long, product_id string"))
     header = spark.range(total).withColumnRenamed("id", "transaction_id")
     names = sorted({p for _, p in data if p != "p3"})
     products = spark.createDataFrame([(p, f"Name {p}") for p in names], "product_id string, product_name string")
-    return lines, header, products
+    return items, header, products
 
 
 def random_baskets(seed, hot=0):
@@ -63,13 +63,13 @@ def test_scores_match_brute_force(spark, distinct, hot):
 
 
 def test_repeated_product_pairs_with_itself(spark):
-    lines, _, _ = frames(spark, [["A", "A", "B"], ["B"], ["A", "B"]], 3)
-    assert rows(aff.product_pairs(lines)) == [(0, "A", "A", 1), (0, "A", "B", 2), (2, "A", "B", 1)]
-    assert rows(aff.expand_pairs(aff.product_pairs(lines), step=1)) == [
+    items, _, _ = frames(spark, [["A", "A", "B"], ["B"], ["A", "B"]], 3)
+    assert rows(aff.product_pairs(items)) == [(0, "A", "A", 1), (0, "A", "B", 2), (2, "A", "B", 1)]
+    assert rows(aff.expand_pairs(aff.product_pairs(items), step=1)) == [
         (0, "A", "A"), (0, "A", "B"), (0, "A", "B"), (2, "A", "B"),
     ]
-    assert rows(aff.product_pairs(lines, distinct=True)) == [(0, "A", "B", 1), (2, "A", "B", 1)]
-    assert rows(aff.product_lists(aff.baskets(lines))) == [(0, ["A", "A", "B"], 3), (2, ["A", "B"], 2)]
+    assert rows(aff.product_pairs(items, distinct=True)) == [(0, "A", "B", 1), (2, "A", "B", 1)]
+    assert rows(aff.product_lists(aff.baskets(items))) == [(0, ["A", "A", "B"], 3), (2, ["A", "B"], 2)]
 
 
 def test_confidence_may_pass_one(spark):
@@ -81,12 +81,14 @@ def test_confidence_may_pass_one(spark):
 
 def test_pair_rows_add_up(spark):
     baskets = random_baskets(3, hot=100)
-    lines, header, products = frames(spark, baskets, len(baskets))
-    metrics = aff.affinity_metrics(lines, header, products).first()
+    items, header, products = frames(spark, baskets, len(baskets))
+    metrics = aff.affinity_metrics(items, header, products).first()
     assert metrics["total_product_pairs"] == sum(len(b) * (len(b) - 1) // 2 for b in baskets)
-    pairs = aff.product_pairs(lines)
+    pairs = aff.product_pairs(items)
     assert pairs.agg({"pair_rows": "sum"}).first()[0] == metrics["total_product_pairs"]
     assert pairs.filter("product_a > product_b").count() == 0
+    data = [(t, p) for t, basket in enumerate(baskets) for p in basket]
+    lines = spark.createDataFrame(data, "transaction_id long, product_id string")
     stats = aff.basket_stats(lines, header, products).first()
     assert stats["baskets"] == len(baskets) and stats["total_line_items"] == sum(map(len, baskets))
 

@@ -46,6 +46,8 @@ def test_inventory_report(spark, inventory):
         "quarantine.records": 11,
         "quarantine.fuzzy_matches_found": 2,
         "quarantine.unmatched_products": 0,
+        "sku.snapshot_product_id.non_standard": 24,
+        "sku.restock_product_id.non_standard": 22,
     }
     assert {k: metrics[k] for k in expected} == expected
 

@@ -1,5 +1,7 @@
 """Loading, layers, exports, exploration, metrics and the stream split."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from shelflens.operators import inventory as inv
 from shelflens.operators.metrics import all_metrics, metric_rows
 from shelflens.sources import sinks
 from shelflens.sources.readers import load_dataset, load_layer, missing_columns
-from shelflens.sources.shared import shared_folder, write_once
+from shelflens.sources.shared import scratch, shared_folder, write_once
 from shelflens.streaming.quarantine import split_stream
 from tests import seed
 from tests.conftest import rows
@@ -85,6 +87,14 @@ def test_shared_folder_comes_from_the_session(spark):
     assert table.inputFiles()[0].startswith(f"file://{shared_folder(spark)}/numbers-")
 
 
+def test_scratch_tables_are_deleted(spark):
+    with scratch(spark):
+        table = write_once(spark.range(3), "gone")
+        folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+        assert folder.is_dir()
+    assert not folder.exists()
+
+
 @pytest.fixture(scope="module")
 def fact(spark):
     snapshot, _ = inv.validate_snapshot(seed.snapshots(spark), seed.products(spark))
