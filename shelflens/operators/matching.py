@@ -48,31 +48,35 @@ def _plan(mine: list[int], theirs: list[int], threshold: int) -> tuple[list[tupl
     return indexed, compared
 
 
-def _deletion_variants(df: DataFrame, drops: list[tuple[int, int, int]]) -> DataFrame:
+def _deletion_variants(df: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
     """Texts with characters removed in every way, as ``variant``.
 
-    ``drops`` lists (length, partner length, characters to drop). The places of
-    removed characters never decrease, so each choice of places occurs once.
+    ``pairs`` lists (length, partner length, characters to drop); ``partners`` are
+    the partner lengths a variant is meant for. The places of removed characters
+    never decrease, so each choice of places occurs once.
     """
-    by_length: dict[int, list[tuple[int, int]]] = {}
-    for length, partner, drop in drops:
-        by_length.setdefault(length, []).append((partner, drop))
+    by_length: dict[int, dict[int, list[int]]] = {}
+    for length, partner, drop in pairs:
+        by_length.setdefault(length, {}).setdefault(drop, []).append(partner)
     entries = []
-    for length, wanted in sorted(by_length.items()):
-        structs = [F.struct(F.lit(p).alias("partner"), F.lit(d).alias("drop")) for p, d in wanted]
-        entries += [F.lit(length), F.array(*structs)]
+    for length, drops in sorted(by_length.items()):
+        wanted = [
+            F.struct(F.lit(drop).alias("drop"), F.array(*map(F.lit, partners)).alias("partners"))
+            for drop, partners in sorted(drops.items())
+        ]
+        entries += [F.lit(length), F.array(*wanted)]
     level = df.select("*", F.inline(F.try_element_at(F.create_map(*entries), F.length("text")))).withColumns(
         {"variant": F.col("text"), "first": F.lit(1)}
     )
     variants = level.filter("drop = 0")
-    for drop in range(1, max(d for _, _, d in drops) + 1):
+    for drop in range(1, max(d for _, _, d in pairs) + 1):
         level = (
             level.filter((F.col("drop") >= drop) & (F.length("variant") >= F.col("first")))
             .withColumn("first", F.explode(F.sequence(F.col("first"), F.length("variant"))))
             .withColumn("variant", F.expr("concat(substring(variant, 1, first - 1), substring(variant, first + 1))"))
         )
         variants = variants.unionByName(level.filter(F.col("drop") == drop))
-    return variants.drop("first", "drop").withColumn("length", F.length("text"))
+    return variants.drop("first", "drop")
 
 
 def _by_variants(texts: DataFrame, choices: DataFrame, plan: list[tuple[int, int, int, int]], threshold: int) -> DataFrame:
@@ -85,10 +89,12 @@ def _by_variants(texts: DataFrame, choices: DataFrame, plan: list[tuple[int, int
 
     mine = _deletion_variants(spread(texts), [(a, b, drop) for a, b, drop, _ in plan])
     theirs = _deletion_variants(spread(choices), [(b, a, drop) for a, b, _, drop in plan])
-    theirs = theirs.toDF(*[{"text": "other", "length": "partner", "partner": "length"}.get(c, c) for c in theirs.columns])
-    pairs = mine.join(theirs, ["variant", "length", "partner"])
+    theirs = theirs.withColumnsRenamed({"text": "other", "partners": "other_partners"})
+    meant = F.array_contains("partners", F.length("other")) & F.array_contains("other_partners", F.length("text"))
     return (
-        pairs.select("text", "other", "rank", "choice")
+        mine.join(theirs, "variant")
+        .filter(meant)
+        .select("text", "other", "rank", "choice")
         .distinct()
         .withColumn("score", similarity.score(F.col("text"), F.col("other")))
         .filter(F.col("score") >= threshold)
