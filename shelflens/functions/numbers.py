@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 NUMERIC_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def lenient_double(text: Column) -> Column:
-    """Number in a text, null where the text is no plain number."""
-    text = text.cast("string")
-    return F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
+def lenient_double(df: DataFrame, column: str) -> Column:
+    """A column as a number; a text that is no plain number becomes null."""
+    value = F.col(column)
+    if not isinstance(df.schema[column].dataType, StringType):
+        return value.cast("double")
+    return F.when(value.rlike(NUMERIC_TEXT), value.try_cast("double"))
 
 
 def holds(condition: Column) -> Column:

@@ -20,9 +20,15 @@ class Rule:
     warning: bool = False
 
 
+def present(tests: list[tuple[Column, str]]) -> Column:
+    """Array of the names whose test holds, in the given order."""
+    # array_remove takes part in code generation; array_compact is evaluated row by row.
+    return F.array_remove(F.array(*[F.when(test, F.lit(name)).otherwise(F.lit("")) for test, name in tests]), "")
+
+
 def codes(rules: list[Rule]) -> Column:
     """Codes of the failing rules, in rule order."""
-    return F.array_compact(F.array(*[F.when(rule.failed, F.lit(rule.code)) for rule in rules]))
+    return present([(rule.failed, rule.code) for rule in rules])
 
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:

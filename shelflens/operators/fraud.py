@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelflens.config import FraudConfig
 from shelflens.functions.numbers import differs, holds, ratio, right_closed_bins
 from shelflens.functions.quantiles import exact_quantiles
-from shelflens.functions.rules import Rule, apply_rules, has_code, is_invalid, is_valid, render_all
+from shelflens.functions.rules import Rule, apply_rules, has_code, is_invalid, is_valid, present, render_all
 from shelflens.operators.inventory import keep_existing
 from shelflens.sources.shared import write_once
 
@@ -176,7 +176,7 @@ def _join_recent(df: DataFrame, refunds: DataFrame, keys: list[str], days: int,
 
 def _add_flags(df: DataFrame, detectors: dict[str, Column]) -> DataFrame:
     points = {**POINTS, **OPTIONAL_POINTS}
-    flags = F.array_compact(F.array(*[F.when(hit, F.lit(code)) for code, hit in detectors.items()]))
+    flags = present([(hit, code) for code, hit in detectors.items()])
     score = F.lit(0)
     for code, hit in detectors.items():
         score = score + F.when(hit, points[code]).otherwise(0)

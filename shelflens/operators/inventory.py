@@ -63,22 +63,25 @@ def tag_snapshot(snapshot: DataFrame, products: DataFrame, config: InventoryConf
     Missing fields are tested on the text as read, so a text that is no number
     passes and becomes null.
     """
+    quantities = ("snapshot_level", "max_capacity", "damaged_quantity", "expired_quantity")
+    number = {c: F.col(f"_{c}") for c in quantities if c in snapshot.columns}
     rules = missing_rules(snapshot, config.snapshot_fields)
-    numeric = {}
-    if "snapshot_level" in snapshot.columns:
-        numeric["snapshot_level"] = level = lenient_double(F.col("snapshot_level"))
-        rules.append(Rule("NEGATIVE_STOCK", holds(level < 0)))
+    if "snapshot_level" in number:
+        rules.append(Rule("NEGATIVE_STOCK", holds(number["snapshot_level"] < 0)))
     rules.append(Rule("MISMATCHED_PRODUCT_ID", _unknown_product()))
-    if "max_capacity" in snapshot.columns:
-        numeric["max_capacity"] = capacity = lenient_double(F.col("max_capacity"))
-        if "snapshot_level" in snapshot.columns:
-            rules.append(Rule("CAPACITY_EXCEEDED", holds(level > capacity), warning=True))
+    if "snapshot_level" in number and "max_capacity" in number:
+        over = holds(number["snapshot_level"] > number["max_capacity"])
+        rules.append(Rule("CAPACITY_EXCEEDED", over, warning=True))
     if config.check_damaged:
-        rules.append(Rule("NEGATIVE_DAMAGED", holds(lenient_double(F.col("damaged_quantity")) < 0)))
+        rules.append(Rule("NEGATIVE_DAMAGED", holds(number["damaged_quantity"] < 0)))
     if config.check_expired:
-        rules.append(Rule("NEGATIVE_EXPIRED", holds(lenient_double(F.col("expired_quantity")) < 0)))
-    tagged = apply_rules(snapshot.join(known_products(products), "product_id", "left"), rules)
-    return tagged.withColumns(numeric).select(*snapshot.columns, "validation_status", "validation_errors")
+        rules.append(Rule("NEGATIVE_EXPIRED", holds(number["expired_quantity"] < 0)))
+    joined = snapshot.join(known_products(products), "product_id", "left").withColumns(
+        {f"_{c}": lenient_double(snapshot, c) for c in number}
+    )
+    converted = {c: number[c] for c in ("snapshot_level", "max_capacity") if c in number}
+    tagged = apply_rules(joined, rules).withColumns(converted)
+    return tagged.select(*snapshot.columns, "validation_status", "validation_errors")
 
 
 def latest_snapshot(snapshot: DataFrame, config: InventoryConfig = CONFIG) -> DataFrame:
@@ -109,7 +112,7 @@ def validate_snapshot(
 
 def tag_restock(restock: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG) -> DataFrame:
     """Every restock row with codes, status and its product's ``max_restock_quantity``."""
-    quantity = lenient_double(F.col("incoming_quantity"))
+    quantity = F.col("_quantity")
     limits = products.select("product_id", "max_restock_quantity").filter(F.col("product_id").isNotNull())
     rules = [
         *missing_rules(restock, config.restock_fields),
@@ -117,7 +120,9 @@ def tag_restock(restock: DataFrame, products: DataFrame, config: InventoryConfig
         Rule("EXCEEDED_RESTOCK_MAX", holds(quantity > F.col("max_restock_quantity"))),
         Rule("MISMATCHED_PRODUCT_ID", _unknown_product()),
     ]
-    joined = restock.join(limits.withColumn("_known", F.lit(True)), "product_id", "left")
+    joined = restock.join(limits.withColumn("_known", F.lit(True)), "product_id", "left").withColumn(
+        "_quantity", lenient_double(restock, "incoming_quantity")
+    )
     return (
         apply_rules(joined, rules)
         .withColumn("incoming_quantity", quantity)
