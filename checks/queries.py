@@ -192,9 +192,9 @@ def rows_with_suggestion(spark, sf):
     return explore.with_suggestion(matched)
 
 
-@query("best_name_matches")
+@query("best_name_matches", "SELECT id, match, score FROM name_matches")
 def best_name_matches(spark, sf):
-    """Part names against the names of the other brands' parts, token order ignored."""
+    """Product names with their words turned round and one word added, token order ignored."""
     names = roles.products(spark, sf).select(F.col("product_name").alias("name"))
     shuffled = names.select(F.concat_ws(" ", F.reverse(F.split("name", " ")), F.lit("x")).alias("name"))
     return matching.best_matches(

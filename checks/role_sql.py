@@ -128,29 +128,48 @@ def error_type(column: str) -> str:
 
 
 # Best match: bit-parallel common subsequence length over the position masks of
-# a known id. Ids have at most 13 characters here.
-ROLES["unknown_ids"] = """
-SELECT id, trim(regexp_replace(lower(id), '\\W', ' ', 'g')) AS t FROM (
-  SELECT product_id AS id FROM kept_snapshots WHERE contains(validation_errors, 'MISMATCHED_PRODUCT_ID')
-  UNION SELECT product_id FROM all_restocks WHERE contains(validation_errors, 'MISMATCHED_PRODUCT_ID'))"""
+# a known text. Texts have fewer than 40 characters here.
+def normalized(column: str) -> str:
+    return f"trim(regexp_replace(lower({column}), '\\W', ' ', 'g'))"
+
+
+def token_sorted(column: str) -> str:
+    return f"array_to_string(list_sort(string_split({normalized(column)}, ' ')), ' ')"
+
 
-ROLES["matches"] = """
-SELECT id, CASE WHEN score >= 85 THEN choice END AS match, score FROM (
+def matches(unknown: str, known: str, threshold: int) -> str:
+    return f"""
+SELECT id, CASE WHEN score >= {threshold} THEN choice END AS match, score FROM (
   SELECT id, choice, CAST(round_even(200.0 * (length(y) - bit_count(free)) / (length(x) + length(y)), 0) AS INTEGER) AS score
   FROM (
-    SELECT u.id, u.t AS x, k.product_id AS choice, k.t AS y,
+    SELECT u.id, u.t AS x, k.choice, k.t AS y,
            list_reduce(list_transform(string_split(u.t, ''), lambda c: coalesce(k.masks[c], 0)),
              lambda v, m: ((v + (v & m)) | (v - (v & m))) & ((1::BIGINT << length(k.t)) - 1),
              (1::BIGINT << length(k.t)) - 1) AS free
-    FROM unknown_ids u, (
-      SELECT product_id, t, map_from_entries(list((c, mask))) AS masks FROM (
-        SELECT product_id, t, substr(t, CAST(i AS BIGINT), 1) AS c, bit_or(1::BIGINT << CAST(i - 1 AS BIGINT)) AS mask
-        FROM (SELECT product_id, trim(regexp_replace(lower(product_id), '\\W', ' ', 'g')) AS t FROM products) q,
-             generate_series(1, 20) g(i)
+    FROM {unknown} u, (
+      SELECT choice, t, map_from_entries(list((c, mask))) AS masks FROM (
+        SELECT choice, t, substr(t, CAST(i AS BIGINT), 1) AS c, bit_or(1::BIGINT << CAST(i - 1 AS BIGINT)) AS mask
+        FROM {known}, generate_series(1, 40) g(i)
         WHERE i <= length(t) GROUP BY 1, 2, 3)
       GROUP BY 1, 2) k)
 ) QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, choice) = 1"""
 
+
+ROLES["unknown_ids"] = f"""
+SELECT id, {normalized("id")} AS t FROM (
+  SELECT product_id AS id FROM kept_snapshots WHERE contains(validation_errors, 'MISMATCHED_PRODUCT_ID')
+  UNION SELECT product_id FROM all_restocks WHERE contains(validation_errors, 'MISMATCHED_PRODUCT_ID'))"""
+ROLES["known_ids"] = f"SELECT product_id AS choice, {normalized('product_id')} AS t FROM products"
+ROLES["matches"] = matches("unknown_ids", "known_ids", 85)
+
+ROLES["unknown_names"] = f"""
+SELECT id, {token_sorted("id")} AS t FROM (
+  SELECT DISTINCT array_to_string(list_reverse(string_split(product_name, ' ')), ' ') || ' x' AS id FROM products)"""
+ROLES["known_names"] = f"""
+SELECT min(product_name) AS choice, t FROM (SELECT product_name, {token_sorted("product_name")} AS t FROM products)
+GROUP BY t"""
+ROLES["name_matches"] = matches("unknown_names", "known_names", 80)
+
 ROLES["header"] = """
 SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS sale_date,
        o_totalprice AS total_amount, o_orderpriority AS payment_mode
