@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -20,9 +20,11 @@ ORDER = 4
 UNIT = 16
 VOCABULARY = 1 << UNIT
 GAP = 32
-# A model stores at most 2**BITS hashed n-grams per order for up to 4 languages, and half
-# as many for each doubling of the languages: its size is bounded whatever the corpus.
-BITS = 19
+# A model stores at most 2**BITS n-grams per order for up to 4 languages, and half as many
+# for each doubling of the languages: its size is bounded whatever the corpus. Of n-grams
+# whose hashes share the first bits the likeliest is stored, the others are left to the
+# shorter model.
+BITS = 20
 FACTOR = 0x9E3779B97F4A7C15
 # Texts scored at a time.
 ROWS = 512
@@ -119,10 +121,12 @@ def _suffix(k: int) -> Column:
 
 @dataclass
 class Model:
-    """Sorted n-grams' hashes per order with a column of log values per language; 0 where a context is unknown."""
+    """Sorted 64-bit hashes of n-grams per order, with a column of log values per language.
+
+    The value of an n-gram that a language doesn't have is NaN, that of a context 0.
+    """
 
     languages: list[str]
-    bits: int
     grams: dict[int, tuple[np.ndarray, np.ndarray]]
     contexts: dict[int, tuple[np.ndarray, np.ndarray]]
 
@@ -140,16 +144,16 @@ class Model:
         hashes, values = stored
         if not len(hashes):
             return np.full((len(gram), len(self.languages)), missing), np.zeros((len(gram), 1), bool)
-        mark = hash_keys(gram, self.bits)
+        mark = hash_keys(gram)
         at = np.minimum(np.searchsorted(hashes, mark), len(hashes) - 1)
         known = (hashes[at] == mark)[:, None]
         return np.where(known, values[at], missing), known
 
 
-def hash_keys(gram: np.ndarray, bits: int) -> np.ndarray:
+def hash_keys(gram: np.ndarray) -> np.ndarray:
+    """A mix that gives different keys different hashes."""
     mixed = (gram ^ (gram >> np.uint64(31))) * np.uint64(FACTOR)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(FACTOR)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(FACTOR)
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
@@ -157,8 +161,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     The highest order counts occurrences, the lower ones in how many different n-grams
     they end; every order gives up an estimated discount to the next lower one. Counts
-    are summed in Spark over all rows; the driver gets hashed entries only, whose number
-    is bounded (``model_bits``). Of entries that share a hash the larger value counts.
+    are summed in Spark over all rows; the driver gets the stored entries only, whose
+    number is bounded (``model_bits``).
     """
     docs = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     grams = {ORDER: write_once(gram_counts(docs, text, lang), "grams")}
@@ -174,17 +178,20 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = hash_keys(batch.column(3).to_numpy().view(np.uint64), bits)
-            columns = [batch.column(0), batch.column(1), batch.column(2), pa.array(marks), pc.ln(batch.column(4))]
-            yield pa.RecordBatch.from_arrays(columns, names=["k", "own", "lang", "mark", "value"])
-
-    union = tables[0]
-    for one in tables[1:]:
-        union = union.union(one)
-    entries = union.select("k", "own", "lang", "gram", "p").mapInArrow(hashed, "k int, own boolean, lang string, mark long, value double")
-    entries = entries.groupBy("k", "own", "lang", "mark").agg(F.max("value").alias("value")).toArrow()
+            marks = hash_keys(batch.column(3).to_numpy().view(np.uint64))
+            slots = (marks >> np.uint64(64 - bits)).view(np.int64)
+            columns = [*batch.columns[:3], pa.array(marks.view(np.int64)), pa.array(slots), batch.column(4)]
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "own", "lang", "mark", "slot", "p"])
+
+    union = reduce(DataFrame.union, tables).select("k", "own", "lang", "gram", "p")
+    entries = union.mapInArrow(hashed, "k int, own boolean, lang string, mark long, slot long, p double")
+    entries = write_once(entries, "entries")
+    each = entries.groupBy("k", "own", "slot", "mark").agg(F.max("p").alias("most"))
+    first = each.groupBy("k", "own", "slot").agg(F.max(F.struct("most", "mark"))["mark"].alias("mark"))
+    entries = entries.join(first, ["k", "own", "slot", "mark"]).select("k", "own", "lang", "mark", F.log("p").alias("value")).toArrow()
     column = {name: i for i, name in enumerate(languages)}
     k, own, mark, value = (entries.column(c).to_numpy() for c in ("k", "own", "mark", "value"))
+    mark = mark.view(np.uint64)
     lang_at = np.array([column[x] for x in entries.column("lang").to_pylist()], np.int64)
 
     def stored(which: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +202,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     orders = range(1, ORDER + 1)
     own = own.astype(bool)
-    return Model(languages, bits, {i: stored((k == i) & own, np.nan) for i in orders}, {i: stored((k == i) & ~own, 0.0) for i in orders})
+    return Model(languages, {i: stored((k == i) & own, np.nan) for i in orders}, {i: stored((k == i) & ~own, 0.0) for i in orders})
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
