@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from checks.queries import QUERIES
@@ -42,6 +43,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         },
     )

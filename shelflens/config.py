@@ -75,6 +75,7 @@ DATASETS: dict[str, Dataset] = {
 
 
 # Fields, keys, thresholds and patterns of the classes below.
+SKU_PATTERN = "^SKU-[A-Z]{3}-[0-9]{3}$"
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,7 @@ class InventoryConfig:
     fuzzy_threshold: int = 85
     name_threshold: int = 80
     sku_enabled: bool = True
-    sku_pattern: str = "^SKU-[A-Z]{3}-[0-9]{3}$"
+    sku_pattern: str = SKU_PATTERN
     version: str = "2.0"
     also_save_csv: bool = True
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-NUMERIC_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMERIC_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$"
 
 
 def lenient_double(df: DataFrame, column: str) -> Column:
@@ -19,6 +19,13 @@ def lenient_double(df: DataFrame, column: str) -> Column:
     return F.when(value.rlike(NUMERIC_TEXT), value.try_cast("double"))
 
 
+def lenient_long(df: DataFrame, column: str) -> Column:
+    """A column as a whole number, also where it is written like ``2.0``; anything else becomes null."""
+    number = lenient_double(df, column)
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 2.0**53), number.try_cast("long"))
+    return F.coalesce(F.col(column).try_cast("long"), whole) if isinstance(df.schema[column].dataType, StringType) else whole
+
+
 def holds(condition: Column) -> Column:
     """A comparison with null counts as false."""
     return F.coalesce(condition, F.lit(False))

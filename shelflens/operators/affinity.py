@@ -148,7 +148,8 @@ def affinity(
         _with_bound(items, config.distinct)
         .groupBy("product_id")
         .agg(F.count("*").alias("product_count"), F.sum("bound").alias("bound"))
-        .filter(F.col("bound") >= F.lit(config.min_support) * total)
+        # The same division as for the result below, so that rounding drops no pair at the edge.
+        .filter(F.col("bound") / total >= config.min_support)
         .select("product_id", "product_count"),
         "frequent_products",
     )

@@ -11,6 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelflens.config import SKU_PATTERN
 from shelflens.functions import similarity
 from shelflens.functions.rules import has_code
 from shelflens.functions.similarity import block_masks, block_scores, long_score
@@ -259,8 +260,7 @@ def apply_suggestions(quarantined: DataFrame) -> DataFrame:
     )
 
 
-def check_sku(df: DataFrame, column: str = "sku", pattern: str = "^SKU-[A-Z]{3}-[0-9]{3}$") -> DataFrame:
+def check_sku(df: DataFrame, column: str = "sku", pattern: str = SKU_PATTERN) -> DataFrame:
     """Add ``sku_valid``: the column begins with the pattern, null counts as false."""
-    anchored = pattern if pattern.startswith("^") else f"^(?:{pattern})"
-    return df.withColumn("sku_valid", F.coalesce(F.col(column).cast("string").rlike(anchored), F.lit(False)))
+    return df.withColumn("sku_valid", F.coalesce(F.col(column).cast("string").rlike(f"^(?:{pattern})"), F.lit(False)))
 

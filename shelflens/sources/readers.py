@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflens.config import DATASETS, Dataset
+from shelflens.functions.numbers import lenient_double, lenient_long
 
 log = logging.getLogger(__name__)
 
@@ -47,8 +48,9 @@ def _join_path(base: str, path: str) -> str:
 
 def _read(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
     if dataset.file_type == "csv":
-        # Only the header line is read here: all columns stay text.
-        options = dict(header=True, sep=dataset.delimiter, encoding=dataset.encoding, escape='"')
+        # Only the header line is read here: all columns stay text. A file of the folder
+        # whose columns differ in name or order raises when it is read.
+        options = dict(header=True, enforceSchema=False, sep=dataset.delimiter, encoding=dataset.encoding, escape='"')
         raw = spark.read.options(**options).csv(path)
         return raw.select(*[F.when(~F.col(f"`{c}`").isin(NO_VALUE), F.col(f"`{c}`")).alias(c) for c in raw.columns])
     if dataset.file_type == "parquet":
@@ -60,8 +62,9 @@ def _read(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
 
 def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Declared types: numbers leniently, dates strictly (a malformed date raises)."""
+    known = {"date": lambda c: F.to_date(c), "double": lambda c: lenient_double(df, c), "long": lambda c: lenient_long(df, c)}
     casts = {
-        c: F.to_date(c) if t == "date" else F.col(c).try_cast(t) for c, t in types.items() if c in df.columns
+        c: known[t](c) if t in known else F.col(c).try_cast(t) for c, t in types.items() if c in df.columns
     }
     return df.withColumns(casts) if casts else df
 

@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
+# The scratch blocks that are open, each with the tables written in it; the last one owns what is written next.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local session, which has no other machine, gets a temporary folder if
-    none is named.
-    """
+    """The folder named by ``spark.checkpoint.dir``, which all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="shelflens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def delete_path(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches of a plan need, and return the written table.
 
@@ -36,19 +34,22 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    if _open.get():
+        _open.get()[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete the tables that were written inside, once the results are written elsewhere."""
-    before = len(_written)
+    """Delete the tables that were written inside, once the results are written elsewhere.
+
+    Blocks that overlap, in one thread or several, delete their own tables only.
+    """
+    mine: list[str] = []
+    _open.set((*_open.get(), mine))
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for name in _written[before:]:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(hadoop).delete(path, True)
-        del _written[before:]
+        _open.set(tuple(other for other in _open.get() if other is not mine))
+        for name in mine:
+            delete_path(spark, name)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflens.functions.rules import render_all
+from shelflens.sources.shared import delete_path
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -44,10 +45,12 @@ def write_curated(df: DataFrame, base: str, name: str, also_csv: bool = True) ->
 
 def write_quarantine(df: DataFrame, base: str, name: str, also_csv: bool = True) -> DataFrame | None:
     """Quarantined rows of one dataset, codes as text; nothing is written if there are none."""
-    if df.isEmpty():
-        return None
     path = f"{base}/quarantine/quarantine_{name}/quarantine_{name}"
     written = write_table(render_all(df, "validation_errors"), f"{path}.parquet")
+    if written.isEmpty():  # what an earlier run has left is no longer true either
+        for kind in ("parquet", "csv"):
+            delete_path(df.sparkSession, f"{path}.{kind}")
+        return None
     if also_csv:
         write_csv(written, f"{path}.csv")
     return written
