@@ -18,7 +18,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from shelflens.llm.common import MARK, with_field
 
 # Distinct words of at most so many characters whose ids a task keeps; beyond KEPT words, it starts afresh.
-KEPT = 1 << 19
+KEPT = 1 << 18
 LONGEST = 256
 # Rows put out at a time, as ids take more room than text.
 ROWS = 512
