@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import roles
 from checks.role_sql import ANOMALIES, DETECTORS, error_type, flags, points, with_roles
-from shelflens.config import AffinityConfig, FraudConfig, LegacyConfig
+from shelflens.config import AffinityConfig, Dataset, FraudConfig, InventoryConfig, LegacyConfig
 from shelflens.functions.quantiles import exact_quantiles
 from shelflens.functions.rules import has_code, render_all
 from shelflens.operators import affinity as aff
@@ -20,8 +21,11 @@ from shelflens.operators import fraud as frd
 from shelflens.operators import inventory as inv
 from shelflens.operators import legacy as leg
 from shelflens.operators import matching
-from shelflens.operators.metrics import all_metrics
-from shelflens.sources.shared import write_once
+from shelflens.operators.metrics import all_metrics, thresholds
+from shelflens.plans.runs import AFFINITY_THRESHOLDS, FRAUD_THRESHOLDS
+from shelflens.sources import sinks
+from shelflens.sources.readers import load_dataset, load_layer
+from shelflens.sources.shared import shared_folder, write_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +89,27 @@ def snapshot_tagged(spark, sf):
     return inv.tag_snapshot(roles.snapshots(spark, sf), roles.products(spark, sf))
 
 
+STRICT_TESTS = {"NEGATIVE_DAMAGED": "damaged_quantity < 3", "NEGATIVE_EXPIRED": "expired_quantity < 3"}
+STRICT_CODES = " || ".join(f"CASE WHEN {test} THEN '{code}; ' ELSE '' END" for code, test in STRICT_TESTS.items())
+
+
+@query(
+    "snapshot_tagged_strict",
+    f"""SELECT snapshot_id, product_id, damaged_quantity - 3 AS damaged_quantity, expired_quantity - 3 AS expired_quantity,
+    snapshot_level, CASE WHEN replace(codes, 'CAPACITY_EXCEEDED; ', '') = '' THEN 'VALID' ELSE 'INVALID' END
+    AS validation_status, codes AS validation_errors
+    FROM (SELECT *, validation_errors || {STRICT_CODES} AS codes FROM all_snapshots)""",
+)
+def snapshot_tagged_strict(spark, sf):
+    """The rules that are off by default, on quantities lowered so that some fall below zero."""
+    lowered = {c: F.col(c) - 3 for c in ("damaged_quantity", "expired_quantity")}
+    rows = roles.snapshots(spark, sf).withColumns(lowered)
+    strict = InventoryConfig(check_damaged=True, check_expired=True)
+    return inv.tag_snapshot(rows, roles.products(spark, sf), strict).select(
+        "snapshot_id", "product_id", *lowered, "snapshot_level", "validation_status", "validation_errors"
+    )
+
+
 @query(
     "snapshot_latest",
     f"""SELECT snapshot_id, store_id, product_id, snapshot_date, snapshot_text AS snapshot_level, max_capacity,
@@ -141,6 +166,22 @@ def restock_metrics(spark, sf):
     return inv.restock_metrics(roles.restocks(spark, sf), roles.products(spark, sf))
 
 
+@query(
+    "restock_with_infinite_quantity",
+    """SELECT restock_id, product_id, CASE WHEN restock_type = 'BULK' THEN 'inf' ELSE 'finite' END AS kind,
+    CASE WHEN restock_type = 'BULK' AND (SELECT count(*) FROM products p WHERE p.product_id = r.product_id) > 0
+         THEN 'EXCEEDED' ELSE '' END AS found FROM restocks r""",
+)
+def restock_with_infinite_quantity(spark, sf):
+    """Bulk restocks written as an infinite number exceed the limit of every known product."""
+    bulk = F.col("restock_type") == "BULK"
+    rows = roles.restocks(spark, sf).withColumn("incoming_quantity", F.when(bulk, " Infinity").otherwise("0.5"))
+    tagged = inv.tag_restock(rows, roles.products(spark, sf))
+    over = F.when(F.array_contains("validation_errors", "EXCEEDED_RESTOCK_MAX"), "EXCEEDED").otherwise("")
+    kind = F.when(F.col("incoming_quantity") == float("inf"), "inf").otherwise("finite")
+    return tagged.select("restock_id", "product_id", kind.alias("kind"), over.alias("found"))
+
+
 @query(
     "rows_with_capacity_warning",
     f"SELECT {SNAPSHOT} FROM all_snapshots WHERE contains(validation_errors, 'CAPACITY_EXCEEDED')",
@@ -210,6 +251,15 @@ def sku_check(spark, sf):
     return matching.check_sku(roles.products(spark, sf))
 
 
+@query(
+    "sku_check_alternatives",
+    "SELECT product_id, sku, coalesce(regexp_matches(sku, '^(SKU-P|STA)'), false) AS sku_valid FROM products",
+)
+def sku_check_alternatives(spark, sf):
+    """Every branch of a pattern is matched at the start: no SKU begins with STA, though some hold it."""
+    return matching.check_sku(roles.products(spark, sf), pattern="^SKU-P|STA").select("product_id", "sku", "sku_valid")
+
+
 @query(
     "sku_check_on_product_id",
     f"""SELECT {SNAPSHOT}, coalesce(regexp_matches(product_id, {SKU_SHAPE}), false) AS sku_valid FROM kept_snapshots
@@ -320,6 +370,13 @@ def fact_filtered(spark, sf):
     return explore.filter_fact(_fact(spark, sf), category="PROMO", reconciliation_status="FLAGGED_NEGATIVE")
 
 
+@query("fact_filtered_by_store", "SELECT * FROM fact WHERE store_name = (SELECT min(store_name) FROM stores)")
+def fact_filtered_by_store(spark, sf):
+    fact = write_once(_fact(spark, sf), "fact")
+    name = roles.stores(spark, sf).agg(F.min("store_name")).first()[0]
+    return explore.filter_fact(fact, store_name=name)
+
+
 @query(
     "layer_counts",
     """SELECT 'raw' AS layer, (SELECT count(*) FROM snapshots) + (SELECT count(*) FROM restocks) AS records
@@ -507,6 +564,47 @@ def affinity_metrics(spark, sf):
     return aff.affinity_metrics(items, roles.header(spark, sf), roles.brands(spark, sf))
 
 
+def _edge_sql() -> str:
+    """Rows whose support is the largest there is, the very edge."""
+    return "SELECT product_a, product_b, pair_count FROM affinity_list WHERE support = (SELECT max(support) FROM affinity_list)"
+
+
+@query("affinity_scores_edge", _edge_sql())
+def affinity_scores_edge(spark, sf):
+    """The least support is set to exactly that of the most frequent pair, which must stay."""
+    items = write_once(_items(spark, sf), "basket_items")
+    header, brands = roles.header(spark, sf), roles.brands(spark, sf)
+    edge = aff.affinity(items, header, brands).agg(F.max("support")).first()[0]
+    found = aff.affinity(items, header, brands, replace(AffinityConfig(), min_support=edge or 1.0))
+    return found.select("product_a", "product_b", "pair_count")
+
+
+def _unpivoted(prefix: str, sql: str) -> str:
+    return f"""SELECT '{prefix}.' || metric AS metric, value FROM (UNPIVOT (
+      SELECT COLUMNS(*)::DOUBLE FROM ({sql})) ON COLUMNS(*) INTO NAME metric VALUE value)"""
+
+
+def _threshold_sql(config: object, names: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(f"SELECT 'threshold.{n}', CAST({getattr(config, n)} AS DOUBLE)" for n in names)
+
+
+@query(
+    "affinity_report",
+    _unpivoted(
+        "affinity",
+        """SELECT CAST(sum(pair_rows) AS BIGINT) AS total_product_pairs,
+        (SELECT count(*) FROM affinity_list) AS pairs_above_thresholds,
+        least((SELECT count(*) FROM affinity_list), 10) AS top_affinities,
+        (SELECT count(*) FROM header) AS total_transactions FROM pairs_list""",
+    )
+    + " UNION ALL "
+    + _threshold_sql(AffinityConfig(), AFFINITY_THRESHOLDS),
+)
+def affinity_report(spark, sf):
+    limits = thresholds(spark, AffinityConfig(), *AFFINITY_THRESHOLDS)
+    return all_metrics({"affinity": affinity_metrics(spark, sf), "threshold": limits})
+
+
 # --- refunds ---------------------------------------------------------------
 
 
@@ -568,8 +666,8 @@ def refund_behaviour(spark, sf):
       {points(DETECTORS)} AS fraud_score FROM behaved""",
 )
 def fraud_patterns(spark, sf):
-    validated = frd.validate_refunds(_enriched(spark, sf))
-    return frd.fraud_patterns(validated, FRAUD, roles.refunds(spark, sf)).select(
+    enriched = write_once(_enriched(spark, sf), "enriched_refunds")
+    return frd.fraud_patterns(frd.validate_refunds(enriched), FRAUD).select(
         "refund_id", "refund_amount", "refund_count", "product_refund_count", "fraud_flags", "fraud_score"
     )
 
@@ -580,7 +678,8 @@ def fraud_patterns(spark, sf):
       round(q3, 4) AS q3 FROM stats""",
 )
 def refund_amount_stats(spark, sf):
-    return _rounded(frd.amount_stats(roles.refunds(spark, sf)), 4, "mean_amount", "std_amount", "q1", "q3")
+    refunds = write_once(roles.refunds(spark, sf).select("refund_amount"), "refund_amounts")
+    return _rounded(frd.amount_stats(refunds), 4, "mean_amount", "std_amount", "q1", "q3")
 
 
 @query(
@@ -601,9 +700,10 @@ def price_quantiles(spark, sf):
       {points(ANOMALIES)} AS fraud_score FROM behaved, stats""",
 )
 def statistical_anomalies(spark, sf):
-    refunds = roles.refunds(spark, sf)
-    behaved = frd.join_behaviour(frd.validate_refunds(_enriched(spark, sf)), frd.refund_behaviour(refunds))
-    found = frd.statistical_anomalies(behaved, FRAUD, refunds).select(
+    enriched = write_once(_enriched(spark, sf), "enriched_refunds")
+    behaviour = write_once(frd.refund_behaviour(enriched), "refund_behaviour")
+    behaved = frd.join_behaviour(frd.validate_refunds(enriched), behaviour)
+    found = frd.statistical_anomalies(behaved, FRAUD, enriched).select(
         "refund_id", "refund_amount", "zscore_amount", "customer_refund_ratio", "fraud_flags", "fraud_score"
     )
     found = _rounded(_rounded(found, 4, "zscore_amount"), 6, "customer_refund_ratio")
@@ -669,18 +769,37 @@ FRAUD_COUNTERS = ", ".join(
 )
 
 
-@query(
-    "fraud_metrics",
-    f"""SELECT count(*) AS total_refunds, count(*) FILTER (validation_status = 'VALID') AS valid_refunds,
+FRAUD_METRICS = f"""SELECT count(*) AS total_refunds, count(*) FILTER (validation_status = 'VALID') AS valid_refunds,
       count(*) FILTER (validation_status = 'INVALID') AS invalid_refunds, {FRAUD_COUNTERS},
       count(*) FILTER (fraud_score > 0) AS total_fraud_flags,
       count(DISTINCT customer_id) FILTER (fraud_score > 0) AS suspicious_customers,
-      count(*) FILTER (fraud_severity = 'CLEAN') AS clean_refunds FROM scored""",
-)
+      count(*) FILTER (fraud_severity = 'CLEAN') AS clean_refunds FROM scored"""
+
+
+@query("fraud_metrics", FRAUD_METRICS)
 def fraud_metrics(spark, sf):
     return frd.fraud_metrics(_scored(spark, sf))
 
 
+@query("fraud_report", _unpivoted("fraud", FRAUD_METRICS) + " UNION ALL " + _threshold_sql(FRAUD, FRAUD_THRESHOLDS))
+def fraud_report(spark, sf):
+    return all_metrics({"fraud": fraud_metrics(spark, sf), "threshold": thresholds(spark, FRAUD, *FRAUD_THRESHOLDS)})
+
+
+WITHOUT = replace(
+    FRAUD, amount_exceeded_enabled=False, payment_mismatch_enabled=False, zscore_enabled=False, refund_ratio_enabled=False
+)
+FEW = [*DETECTORS[:3], ANOMALIES[1]]
+
+
+@query(
+    "fraud_flags_without_detectors",
+    f"SELECT refund_id, {flags(FEW)} AS fraud_flags, {points(FEW)} AS fraud_score FROM behaved, stats",
+)
+def fraud_flags_without_detectors(spark, sf):
+    return _scored(spark, sf, WITHOUT).select("refund_id", "fraud_flags", "fraud_score")
+
+
 @query(
     "recent_refunds",
     """SELECT DISTINCT customer_id, CAST(refund_date AS VARCHAR) AS refund_day, count(*) OVER w AS recent_count,
@@ -731,8 +850,8 @@ OPTIONAL_DETECTORS = [
       FROM validated)""",
 )
 def fraud_patterns_windowed(spark, sf):
-    validated = frd.validate_refunds(_enriched(spark, sf))
-    return frd.fraud_patterns(validated, OPTIONAL, roles.refunds(spark, sf)).select(
+    enriched = write_once(_enriched(spark, sf), "enriched_refunds")
+    return frd.fraud_patterns(frd.validate_refunds(enriched), OPTIONAL).select(
         "refund_id", "refund_amount", "refund_count", "product_refund_count", "fraud_flags", "fraud_score"
     )
 
@@ -781,3 +900,58 @@ def lifetime_value(spark, sf):
 def segment_distribution(spark, sf):
     return cus.segment_distribution(customer_segments(spark, sf))
 
+
+# --- sources and sinks ------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "source_csv",
+    """SELECT * REPLACE (CASE WHEN snapshot_level = 'n/a' THEN NULL ELSE snapshot_level END AS snapshot_level)
+    FROM snapshots""",
+)
+def source_csv(spark, sf):
+    """Snapshots written as csv and loaded by name; a text for "no value" is null."""
+    base = _folder(spark, "source_csv")
+    sinks.write_csv(roles.snapshots(spark, sf), f"{base}/raw/inventory_snapshot.csv")
+    return load_dataset(spark, "inventory_snapshot", base)
+
+
+@query("source_json", "SELECT * REPLACE (CAST(sale_date AS VARCHAR) AS sale_date) FROM header")
+def source_json(spark, sf):
+    """Sales as JSON lines, with the declared types after loading."""
+    base, rows = _folder(spark, "source_json"), roles.header(spark, sf)
+    rows.write.json(f"{base}/sales")
+    types = {"sale_date": "date", "total_amount": "double", "customer_id": "long", "transaction_id": "long"}
+    loaded = load_dataset(spark, "sales", base, {"sales": Dataset("sales", "json", types=types)})
+    return loaded.select(*rows.columns)
+
+
+@query("source_parquet", "SELECT * FROM products")
+def source_parquet(spark, sf):
+    """Products through the raw archive, loaded by name."""
+    base = _folder(spark, "source_parquet")
+    sinks.archive_raw(roles.products(spark, sf), base, "products")
+    return load_dataset(spark, "products", base, {"products": Dataset("raw/products_raw.parquet", "parquet")})
+
+
+@query("curated_sink", "SELECT * FROM fact")
+def curated_sink(spark, sf):
+    base = _folder(spark, "curated_sink")
+    sinks.write_curated(_fact(spark, sf), base, "inventory_fact", also_csv=False)
+    return load_layer(spark, f"{base}/curated/inventory_fact/inventory_fact.parquet")
+
+
+@query("quarantine_sink", QUARANTINED_SNAPSHOT)
+def quarantine_sink(spark, sf):
+    return sinks.write_quarantine(quarantine_snapshot(spark, sf), _folder(spark, "quarantine_sink"), "inventory_snapshot")
+
+
+@query("stamped_fact", "SELECT snapshot_id, true AS stamped FROM fact")
+def stamped_fact(spark, sf):
+    """The wall clock columns are set, whatever they hold."""
+    fact = inv.inventory_fact(_reconciled(spark, sf), roles.products(spark, sf), roles.stores(spark, sf))
+    return fact.select("snapshot_id", (F.col("reconciled_at").isNotNull() & F.col("created_at").isNotNull()).alias("stamped"))

@@ -71,6 +71,11 @@ DATASETS: dict[str, Dataset] = {
         ),
         types={"refund_date": "date", "refund_amount": "double", "original_amount": "double"},
     ),
+    "customer_transactions_history": Dataset(
+        path="raw/customer_transactions_history.csv",
+        required=("customer_id", "transaction_id", "date", "amount"),
+        types={"date": "date", "amount": "double"},
+    ),
 }
 
 
@@ -163,3 +168,4 @@ class CustomerConfig:
     monetary: tuple[float, float, float, float] = (200.0, 500.0, 1000.0, 2000.0)
     churn_days: tuple[int, int, int] = (30, 60, 90)
     profit_margin: float = 0.2
+    also_save_csv: bool = True

@@ -130,30 +130,51 @@ def _with_bound(items: DataFrame, distinct: bool) -> DataFrame:
     return items.withColumn("bound", F.col("quantity_lines") * most)
 
 
+def frequent_products(items: DataFrame, header: DataFrame, config: AffinityConfig = CONFIG) -> DataFrame:
+    """``product_id, product_count`` of the products that can reach the minimum support.
+
+    Products whose bounds add up to less than the least pair count are left out;
+    this loses no pair. Of distinct items at most (mean basket size / minimum
+    support) products remain, however many baskets there are.
+    """
+    return (
+        _with_bound(items, config.distinct)
+        .groupBy("product_id")
+        .agg(F.count("*").alias("product_count"), F.sum("bound").alias("bound"))
+        # The same division as for the support, so that rounding drops no pair at the edge.
+        .filter(F.col("bound") / total_transactions(header) >= config.min_support)
+        .select("product_id", "product_count")
+    )
+
+
+def frequent_pairs(items: DataFrame, frequent: DataFrame, distinct: bool = False) -> DataFrame:
+    """Pairs of the frequent products in all baskets: those that scores are made of."""
+    return _pair_up(items.join(frequent.select("product_id"), "product_id", "left_semi"), distinct)
+
+
 def affinity(
-    items: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
+    items: DataFrame,
+    header: DataFrame,
+    products: DataFrame,
+    config: AffinityConfig = CONFIG,
+    frequent: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Scores of the product pairs that pass the three thresholds.
 
     Only the direction a -> b of a pair a <= b is tested.
 
-    Products whose bounds add up to less than the least pair count are dropped
-    before baskets are paired; this loses no pair. Of distinct items at most
-    (mean basket size / minimum support) products remain, however many baskets
-    there are. They are written, so Spark knows their size when it chooses how to
-    join them. Items are read twice and best passed as a written table.
+    Baskets are paired after infrequent products are dropped (``frequent_products``).
+    Those are written, so Spark knows their size when it chooses how to join them;
+    this starts a job. Items are read twice and best passed as a written table.
+    ``frequent`` and ``pairs``: what ``frequent_products`` and ``frequent_pairs``
+    gave, if already written.
     """
     total = total_transactions(header)
-    frequent = write_once(
-        _with_bound(items, config.distinct)
-        .groupBy("product_id")
-        .agg(F.count("*").alias("product_count"), F.sum("bound").alias("bound"))
-        # The same division as for the result below, so that rounding drops no pair at the edge.
-        .filter(F.col("bound") / total >= config.min_support)
-        .select("product_id", "product_count"),
-        "frequent_products",
-    )
-    kept = items.join(frequent.select("product_id"), "product_id", "left_semi")
+    if frequent is None:
+        frequent = write_once(frequent_products(items, header, config), "frequent_products")
+    if pairs is None:
+        pairs = frequent_pairs(items, frequent, config.distinct)
     # Names of the few remaining products only, however long the product master is.
     names = products.select("product_id", "product_name").join(frequent, "product_id", "left_semi")
 
@@ -162,7 +183,7 @@ def affinity(
         return [counted, names.toDF(f"product_{name}", f"product_{name}_name")]
 
     scores = (
-        pair_counts(_pair_up(kept, config.distinct))
+        pair_counts(pairs)
         .withColumn("total", total)
         .withColumn("support", F.col("pair_count") / F.col("total"))
         .filter(F.col("support") >= config.min_support)
@@ -238,19 +259,21 @@ def basket_stats(lines: DataFrame, header: DataFrame, products: DataFrame) -> Da
     )
 
 
-def affinity_metrics(
-    items: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
-) -> DataFrame:
-    """One row of run counters: pair rows, pairs above the thresholds, pairs returned.
-
-    Pair rows need no pairing: a basket of n lines has n(n-1)/2 of them.
-    """
-    size = "quantity_lines" if not config.distinct else "1"
-    rows = (
+def pair_totals(items: DataFrame, distinct: bool = False) -> DataFrame:
+    """One row: pair rows of all baskets. A basket of n lines has n(n-1)/2, so nothing is paired."""
+    size = "1" if distinct else "quantity_lines"
+    return (
         items.groupBy("transaction_id")
         .agg(F.sum(F.expr(size)).alias("size"))
         .agg(F.sum(F.expr("size * (size - 1) div 2")).alias("total_product_pairs"))
     )
+
+
+def affinity_metrics(
+    items: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
+) -> DataFrame:
+    """One row of run counters: pair rows, pairs above the thresholds, pairs returned. Starts a job, as ``affinity``."""
+    rows = pair_totals(items, config.distinct)
     above = affinity(items, header, products, config).agg(F.count("*")).scalar()
     return rows.withColumns(
         {"pairs_above_thresholds": above, "total_transactions": header.agg(F.count("*")).scalar()}

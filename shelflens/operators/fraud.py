@@ -118,22 +118,28 @@ def validate_refunds(enriched: DataFrame, config: FraudConfig = CONFIG) -> DataF
 def refund_behaviour(refunds: DataFrame) -> DataFrame:
     """Per customer and product: refunds of both, refunds and refund sum of the customer.
 
-    The customer figures come from the product figures, so the refunds are
-    shuffled once, partly aggregated, and the window over a customer sees one row
-    per product. Rows without a customer have no behaviour.
+    The product figures are written, since the customer figures are summed from
+    them and joined back: both are reduced before they are shuffled, and the join
+    can split a customer with many products, which a window could not. Rows
+    without a customer have no behaviour. Starts a job.
     """
-    customer = Window.partitionBy("customer_id")
-    return (
+    products = write_once(
         refunds.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id", "product_id")
-        .agg(F.count("*").alias("product_refund_count"), F.sum("refund_amount").alias("_amount"))
-        .select(
-            "customer_id",
-            "product_id",
-            F.when(F.col("product_id").isNotNull(), F.col("product_refund_count")).alias("product_refund_count"),
-            F.sum("product_refund_count").over(customer).alias("refund_count"),
-            F.coalesce(F.sum("_amount").over(customer), F.lit(0.0)).alias("customer_refund_amount"),
-        )
+        .agg(F.count("*").alias("product_refund_count"), F.sum("refund_amount").alias("_amount")),
+        "refunds_by_product",
+    )
+    customers = products.groupBy("customer_id").agg(
+        F.sum("product_refund_count").alias("refund_count"),
+        F.coalesce(F.sum("_amount"), F.lit(0.0)).alias("customer_refund_amount"),
+    )
+    # Rebalanced, so that beyond broadcast size the join shuffles both of its sides and AQE can split a customer.
+    return products.join(customers.hint("rebalance"), "customer_id").select(
+        "customer_id",
+        "product_id",
+        F.when(F.col("product_id").isNotNull(), F.col("product_refund_count")).alias("product_refund_count"),
+        "refund_count",
+        "customer_refund_amount",
     )
 
 

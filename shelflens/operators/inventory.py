@@ -143,11 +143,19 @@ def count_codes(*names: str) -> list[Column]:
     return [F.count_if(has_code(name)).alias(name.lower()) for name in names]
 
 
-def snapshot_metrics(snapshot: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG) -> DataFrame:
-    """One row of counters: codes over all rows, valid and invalid after deduplication."""
+def snapshot_metrics(
+    snapshot: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG, kept: DataFrame | None = None
+) -> DataFrame:
+    """One row of counters: codes over all rows, valid and invalid after deduplication.
+
+    ``kept``: the deduplicated, tagged rows, if already written; only the codes of
+    all rows are then made anew, without a second deduplication.
+    """
     fields = [f"MISSING_{f.upper()}" for f in config.snapshot_fields if f in snapshot.columns]
     tagged = tag_snapshot(snapshot, products, config)
-    kept = tag_snapshot(latest_snapshot(snapshot, config), products, config).agg(
+    if kept is None:
+        kept = tag_snapshot(latest_snapshot(snapshot, config), products, config)
+    kept = kept.agg(
         F.count_if(is_valid()).alias("valid"), F.count_if(is_invalid()).alias("invalid")
     )
     kept = kept.select(F.struct("valid", "invalid")).scalar()
@@ -160,9 +168,13 @@ def snapshot_metrics(snapshot: DataFrame, products: DataFrame, config: Inventory
     ).withColumn("duplicates", F.col("total") - F.col("valid") - F.col("invalid"))
 
 
-def restock_metrics(restock: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG) -> DataFrame:
+def restock_metrics(
+    restock: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG, tagged: DataFrame | None = None
+) -> DataFrame:
+    """One row of counters over the tagged rows, which may be passed in if already written."""
     fields = [f"MISSING_{f.upper()}" for f in config.restock_fields if f in restock.columns]
-    return tag_restock(restock, products, config).agg(
+    tagged = tag_restock(restock, products, config) if tagged is None else tagged
+    return tagged.agg(
         F.count("*").alias("total"),
         F.count_if(is_valid()).alias("valid"),
         F.count_if(is_invalid()).alias("invalid"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,11 @@ def metric_rows(counters: DataFrame, prefix: str = "") -> DataFrame:
     return counters.select(F.inline(F.array(*pairs)))
 
 
+def thresholds(spark: SparkSession, config: object, *names: str) -> DataFrame:
+    """The named settings of a run as a one-row frame, to stand in its report."""
+    return spark.range(1).select(*[F.lit(float(getattr(config, n))).alias(n) for n in names])
+
+
 def all_metrics(groups: dict[str, DataFrame]) -> DataFrame:
     """Counters of several steps in one frame, names prefixed by the step."""
     rows = [metric_rows(df, f"{name}.") for name, df in groups.items()]

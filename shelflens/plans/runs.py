@@ -9,19 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflens.config import AffinityConfig, FraudConfig, InventoryConfig, LegacyConfig
+from shelflens.config import AffinityConfig, CustomerConfig, FraudConfig, InventoryConfig, LegacyConfig
 from shelflens.functions.rules import is_invalid, is_valid
 from shelflens.operators import affinity as aff
+from shelflens.operators import customers as cus
 from shelflens.operators import fraud as frd
 from shelflens.operators import inventory as inv
 from shelflens.operators import legacy as leg
 from shelflens.operators import matching
-from shelflens.operators.metrics import all_metrics
+from shelflens.operators.metrics import all_metrics, thresholds
 from shelflens.sources import sinks
 from shelflens.sources.readers import load_dataset
 from shelflens.sources.shared import scratch
 
 
+AFFINITY_THRESHOLDS = ("min_support", "min_confidence", "min_lift", "top_n")
+FRAUD_THRESHOLDS = (
+    "max_refund_ratio",
+    "allowed_refund_window_days",
+    "max_refunds",
+    "high_value_amount",
+    "max_same_product_refunds",
+    "zscore_threshold",
+    "iqr_multiplier",
+    "max_customer_refund_ratio",
+)
+
+
 def load_inputs(spark: SparkSession, base: str, *names: str) -> dict[str, DataFrame]:
     return {name: load_dataset(spark, name, base) for name in names}
 
@@ -53,8 +67,8 @@ def run_inventory(
             written[name] = sinks.write_quarantine(inv.quarantine(invalid, name), out, name, config.also_save_csv)
 
     groups = {
-        "snapshot": inv.snapshot_metrics(snapshot, products, config),
-        "restock": inv.restock_metrics(restock, products, config),
+        "snapshot": inv.snapshot_metrics(snapshot, products, config, kept),
+        "restock": inv.restock_metrics(restock, products, config, tagged),
         "curated": fact.agg(
             F.count("*").alias("records"),
             F.avg("effective_stock_level").alias("mean_effective_stock"),
@@ -91,22 +105,25 @@ def run_inventory(
 def run_affinity(
     inputs: dict[str, DataFrame], out: str, config: AffinityConfig = AffinityConfig()
 ) -> dict[str, DataFrame]:
-    """Sales lines to baskets, pairs, affinity scores, recommendations and report."""
+    """Sales lines to baskets, pairs, affinity scores, recommendations and report.
+
+    Baskets are paired once; ``pairs`` are those of products that can reach the support.
+    """
     header, lines = inputs["store_sales_header"], inputs["store_sales_line_items"]
     products = inputs["products"]
     items = sinks.write_table(aff.basket_items(lines), f"{out}/staging/basket_items")
     baskets = sinks.write_table(aff.baskets(items), f"{out}/staging/transaction_baskets")
-    pairs = sinks.write_table(aff.product_pairs(items, config.distinct), f"{out}/staging/product_pairs")
-    with scratch(lines.sparkSession):
-        scores = sinks.write_curated(
-            aff.affinity(items, header, products, config), out, "affinity_scores", config.also_save_csv
-        )
+    frequent = sinks.write_table(aff.frequent_products(items, header, config), f"{out}/staging/frequent_products")
+    pairs = sinks.write_table(aff.frequent_pairs(items, frequent, config.distinct), f"{out}/staging/product_pairs")
+    found = aff.affinity(items, header, products, config, frequent, pairs)
+    scores = sinks.write_curated(found, out, "affinity_scores", config.also_save_csv)
     top = sinks.write_curated(aff.top_affinities(scores, config.top_n), out, "top_affinities", config.also_save_csv)
     groups = {
         "baskets": aff.basket_stats(lines, header, products),
-        "pairs": pairs.agg(F.sum("pair_rows").alias("total_product_pairs")),
+        "pairs": aff.pair_totals(items, config.distinct),
         "scores": scores.agg(F.count("*").alias("pairs_above_thresholds")),
         "top": top.agg(F.count("*").alias("returned")),
+        "threshold": thresholds(lines.sparkSession, config, *AFFINITY_THRESHOLDS),
     }
     sinks.write_report(all_metrics(groups), out, "affinity")
     return {"baskets": baskets, "pairs": pairs, "affinity_scores": scores, "top_affinities": top}
@@ -133,16 +150,40 @@ def run_fraud(
         "clean_refunds": frd.clean_refunds(scored),
     }
     written = {name: sinks.write_curated(df, out, name, config.also_save_csv) for name, df in tables.items()}
-    sinks.write_report(all_metrics({"fraud": frd.fraud_metrics(scored)}), out, "fraud")
+    groups = {
+        "fraud": frd.fraud_metrics(scored),
+        "threshold": thresholds(customers.sparkSession, config, *FRAUD_THRESHOLDS),
+    }
+    sinks.write_report(all_metrics(groups), out, "fraud")
     return written
 
 
 def run_units(units: DataFrame, out: str, config: LegacyConfig = LegacyConfig()) -> dict[str, DataFrame | None]:
     """The single-table inventory run: deduplication follows the split here."""
     raw = sinks.archive_raw(units, out, "inventory")
-    valid, invalid = leg.validate_units(raw, config)
-    fact = leg.units_fact(leg.reconcile_units(leg.latest_units(valid, config), config), config)
+    tagged = sinks.write_table(leg.tag_units(raw, config), f"{out}/staging/inventory_units")
+    invalid = tagged.filter(is_invalid())
+    fact = leg.units_fact(leg.reconcile_units(leg.latest_units(tagged.filter(is_valid()), config), config), config)
     curated = sinks.write_curated(fact, out, "inventory_units")
     audit = sinks.write_quarantine(leg.quarantine_units(invalid), out, "inventory_units")
-    sinks.write_report(all_metrics({"units": leg.units_metrics(raw, config)}), out, "inventory_units")
+    sinks.write_report(all_metrics({"units": leg.units_metrics(raw, config, tagged, curated)}), out, "inventory_units")
     return {"inventory_units": curated, "quarantine_inventory_units": audit}
+
+
+def run_customers(
+    inputs: dict[str, DataFrame], out: str, config: CustomerConfig = CustomerConfig()
+) -> dict[str, DataFrame]:
+    """Purchases to scores, churn status, segment and lifetime value of every customer, and report."""
+    history, customers = inputs["customer_transactions_history"], inputs["customer_details"]
+    base = sinks.write_table(cus.customer_base(history, customers), f"{out}/staging/customer_base")
+    valued = cus.lifetime_value(cus.segments(cus.churn_status(cus.rfm_scores(base, config), config)), config)
+    scores = sinks.write_curated(valued, out, "customer_scores", config.also_save_csv)
+    segments = sinks.write_curated(cus.segment_distribution(scores), out, "customer_segments", config.also_save_csv)
+    totals = scores.agg(
+        F.count("*").alias("customers"),
+        F.sum("monetary").alias("total_spent"),
+        F.sum("clv").alias("total_lifetime_value"),
+        F.count_if(F.col("churn_status") == "CHURNED").alias("churned"),
+    )
+    sinks.write_report(all_metrics({"customers": totals}), out, "customers")
+    return {"customer_scores": scores, "customer_segments": segments}

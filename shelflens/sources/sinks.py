@@ -27,7 +27,9 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    flat(df).write.mode("overwrite").options(header=True, escape='"').csv(path)
+    # Blanks around a text are part of it.
+    blanks = dict(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    flat(df).write.mode("overwrite").options(header=True, escape='"', **blanks).csv(path)
 
 
 def archive_raw(df: DataFrame, base: str, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelflens.operators import customers as cus
+from shelflens.plans.runs import run_customers
 from tests.conftest import rows
 
 TODAY = date(2024, 6, 30)
@@ -65,3 +66,31 @@ def test_lifetime_value(spark):
     assert [tuple(r) for r in found] == [
         pytest.approx((500.0, 100.0)), pytest.approx((1000.0, 40.0)), (0.0, 0.0),
     ]
+
+
+def test_run_covers_every_segment(spark, tmp_path):
+    history = purchases(
+        spark,
+        [(1, 1 + d, 300) for d in range(8)]  # 5 + 5 + 5
+        + [(2, 10, 300), (2, 20, 300)]  # 4 + 2 + 3
+        + [(3, 20, 300)]  # 3 + 1 + 2
+        + [(4, 100, 10)]  # 1 + 1 + 1
+        + [(6, 10, 100), (6, 12, 60)]  # 4 + 2 + 1
+        + [(None, 0, 9)],
+    )
+    people = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 5, 6)], "customer_id long")
+    tables = run_customers({"customer_transactions_history": history, "customer_details": people}, str(tmp_path))
+    assert rows(tables["customer_scores"], "customer_id", "rfm_score", "segment", "churn_status") == [
+        (1, 15, "CHAMPIONS", "ACTIVE"),
+        (2, 9, "CHAMPIONS", "ACTIVE"),
+        (3, 6, "POTENTIAL LOYALISTS", "ACTIVE"),
+        (4, 3, "AT RISK", "CHURNED"),
+        (5, 0, "LOST", "CHURNED"),
+        (6, 7, "LOYAL CUSTOMERS", "ACTIVE"),
+    ]
+    assert rows(tables["customer_segments"], "segment", "customers") == [
+        ("AT RISK", 1), ("CHAMPIONS", 2), ("LOST", 1), ("LOYAL CUSTOMERS", 1), ("POTENTIAL LOYALISTS", 1),
+    ]
+    report = {r["metric"]: r["value"] for r in spark.read.json(f"{tmp_path}/reports/customers").collect()}
+    assert report["customers.customers"] == 6 and report["customers.churned"] == 2
+    assert report["customers.total_spent"] == 2400 + 600 + 300 + 10 + 160
