@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -150,23 +152,45 @@ def shard_links(shard: np.ndarray, marks: np.ndarray, is_query: np.ndarray, radi
     return marks[linked], marks[labels[linked]]
 
 
-def _bands(radius: int) -> list[tuple[int, int]]:
-    """Start and width of radius + 1 bit bands: marks within the radius agree in one of them at least."""
-    edges = [BITS * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+def _masks(parts: int, radius: int) -> list[int]:
+    """Every choice of ``parts - radius`` out of ``parts`` even parts of the bits, as signed masks.
+
+    Marks within the radius differ in ``radius`` parts at most, so they agree under one mask.
+    """
+    edges = [BITS * i // parts for i in range(parts + 1)]
+    bands = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+    masks = [sum(chosen) for chosen in combinations(bands, parts - radius)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+
+
+def parts_for(count: int, radius: int, block: int) -> int:
+    """Into how many parts the bits are cut, so that fewest rows are searched for ``count`` fingerprints.
+
+    Few parts make few keys of few bits, whose shards grow with the count; more parts
+    make more keys that few fingerprints share. The links found are the same.
+    """
+
+    def searched(parts: int) -> float:
+        shard = count / 2.0 ** (BITS * (parts - radius) / parts)
+        return comb(parts, radius) * (1 + shard / block / 2)
+
+    return min(range(radius + 1, radius + 5), key=searched)
 
 
-def links(distinct: DataFrame, mark: str, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def links(distinct: DataFrame, mark: str, radius: int = RADIUS, block: int = BLOCK, parts: int | None = None) -> DataFrame:
     """Rows ``a``, ``b`` that connect all distinct fingerprints within the radius.
 
-    Fingerprints within the radius agree in one of radius + 1 bit bands; a shard
-    holds the fingerprints with one value of one band and searches its own BK-tree.
-    A shard of more than ``block`` fingerprints is split into blocks with a tree
-    each, and every fingerprint is searched for in the blocks before its own as well.
+    The bits are cut into ``parts`` (default: by the number of fingerprints), and
+    fingerprints within the radius agree in ``parts - radius`` of them. A shard holds
+    the fingerprints that agree in one such choice and searches its own BK-tree. A shard
+    of more than ``block`` fingerprints is split into blocks with a tree each, and every
+    fingerprint is searched for in the blocks before its own as well. Counts the
+    fingerprints, which should be a written table.
     """
+    parts = parts_for(distinct.count(), radius, block) if parts is None else parts
     shards = [
-        F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(mark, low).bitwiseAND((1 << width) - 1).alias("value"))
-        for i, (low, width) in enumerate(_bands(radius))
+        F.struct(F.lit(i).alias("band"), F.col(mark).bitwiseAND(F.lit(mask).cast("long")).alias("value"))
+        for i, mask in enumerate(_masks(parts, radius))
     ]
     rows = distinct.select(F.col(mark).alias("mark"), F.explode(F.array(*shards)).alias("s")).select("mark", "s.*")
     large = rows.groupBy("band", "value").agg(F.count("*").alias("n")).filter(F.col("n") > block)

@@ -261,8 +261,13 @@ def test_components_like_all_pairs(docs):
     assert [r.component_id for r in rows] == slow_classes(marks, [r.doc_id for r in rows])
 
 
-@pytest.mark.parametrize("block", [16, 2048])
-def test_dense_shards_in_blocks(spark, block):
+@pytest.mark.parametrize("count, parts", [(0, 5), (200_000, 5), (10**9, 6), (10**11, 7), (10**12, 8)])
+def test_more_fingerprints_more_parts(count, parts):
+    assert simhash.parts_for(count, 4, 2048) == parts
+
+
+@pytest.mark.parametrize("block, parts", [(16, 5), (2048, 5), (2048, 6), (16, 7)])
+def test_dense_shards_in_blocks(spark, block, parts):
     rng = np.random.default_rng(9)
     centres = rng.integers(0, 2**63, 6, dtype=np.uint64)
     marks = []
@@ -272,7 +277,7 @@ def test_dense_shards_in_blocks(spark, block):
             marks.append(int(c) ^ sum(1 << int(b) for b in flips))
     marks = np.unique(np.array(marks + rng.integers(0, 2**63, 50).tolist(), np.uint64))
     df = spark.createDataFrame([(int(m),) for m in marks.view(np.int64)], "m long")
-    found = {r.node: r.root for r in simhash.components(simhash.links(df, "m", 4, block)).collect()}
+    found = {r.node: r.root for r in simhash.components(simhash.links(df, "m", 4, block, parts)).collect()}
     signed = marks.view(np.int64).tolist()
     assert [found.get(m, m) for m in signed] == slow_classes(marks, signed)
 
