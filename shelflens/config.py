@@ -15,6 +15,11 @@ class Dataset:
     encoding: str = "utf-8"
     required: tuple[str, ...] = ()
     types: dict[str, str] = field(default_factory=dict)
+    # All columns of json files. They are read as text, by name, in one pass; without
+    # them, names and types are inferred by reading the files once more.
+    columns: tuple[str, ...] = ()
+    # Whether csv cells may hold quoted line breaks. A file is then read by one task.
+    line_breaks: bool = False
 
 
 # Dataset names, file locations, required columns, column types.

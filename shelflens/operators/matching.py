@@ -27,16 +27,21 @@ cloudpickle.register_pickle_by_value(similarity)
 MAX_DELETIONS = 4
 MAX_INDEXED = 24
 BLOCK = 1024
+# Pairs of blocks that one task compares, and texts whose variants one task makes, about.
+BLOCK_PAIRS = 4
+VARIANT_TEXTS = 1 << 13
 
 
-def _plan(mine: list[int], theirs: list[int], threshold: int) -> tuple[list[tuple[int, int, int, int]], set[int]]:
+def _plan(
+    mine: list[int], theirs: list[int], threshold: int
+) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
     """What pairs of text lengths need, from the few lengths that occur.
 
     Gives (length, partner length, characters to drop, partner's to drop) for the
-    pairs searched through variants, and the lengths that also have a reachable
-    partner too long for that.
+    pairs searched through variants, and (length, partner length) for the pairs
+    that can reach the threshold but are too long for that.
     """
-    indexed, compared = [], set()
+    indexed, compared = [], []
     for a in mine:
         for b in theirs:
             keep = similarity.needed_lcs(a, b, threshold)
@@ -45,7 +50,7 @@ def _plan(mine: list[int], theirs: list[int], threshold: int) -> tuple[list[tupl
             if max(a, b) <= MAX_INDEXED and max(a, b) - keep <= MAX_DELETIONS:
                 indexed.append((a, b, a - keep, b - keep))
             else:
-                compared.add(a)
+                compared.append((a, b))
     return indexed, compared
 
 
@@ -82,11 +87,11 @@ def _deletion_variants(df: DataFrame, pairs: list[tuple[int, int, int]]) -> Data
 
 def _by_variants(texts: DataFrame, choices: DataFrame, plan: list[tuple[int, int, int, int]], threshold: int) -> DataFrame:
     """Scored pairs that reach the threshold, found by an equi-join on variants."""
-    tasks = texts.sparkSession.sparkContext.defaultParallelism
+    least = texts.sparkSession.sparkContext.defaultParallelism
 
     def spread(df: DataFrame) -> DataFrame:
         # Few bytes, but much work per row: without this, a small table is one task.
-        return df.repartition(tasks, "text")
+        return df.repartition(max(least, df.count() // VARIANT_TEXTS), "text")
 
     mine = _deletion_variants(spread(texts), [(a, b, drop) for a, b, drop, _ in plan])
     theirs = _deletion_variants(spread(choices), [(b, a, drop) for a, b, _, drop in plan])
@@ -103,12 +108,13 @@ def _by_variants(texts: DataFrame, choices: DataFrame, plan: list[tuple[int, int
     )
 
 
-def _by_blocks(texts: DataFrame, choices: DataFrame, text_blocks: int, choice_blocks: int) -> DataFrame:
+def _by_blocks(texts: DataFrame, choices: DataFrame) -> DataFrame:
     """Best choice of every text, by comparing blocks of bounded size.
 
-    Both sides are distinct and cut into blocks of about BLOCK texts by a hash.
-    A task sees one block of each and returns one row per text.
+    Both sides are distinct, written, and cut into blocks of about BLOCK texts by a
+    hash. Two blocks at a time are compared, which gives one row per text.
     """
+    text_blocks, choice_blocks = (max(1, -(-df.count() // BLOCK)) for df in (texts, choices))
 
     def block(blocks: int) -> Column:
         return F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int")
@@ -144,7 +150,8 @@ def _by_blocks(texts: DataFrame, choices: DataFrame, text_blocks: int, choice_bl
 
     rank_type = choices.schema["rank"].dataType.simpleString()
     # A fixed number of partitions, for AQE would merge these small ones into one task.
-    tasks = min(text_blocks * choice_blocks, 8 * texts.sparkSession.sparkContext.defaultParallelism)
+    least = texts.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(text_blocks * choice_blocks, least), text_blocks * choice_blocks // BLOCK_PAIRS)
     left, right = (df.repartition(tasks, "tb", "cb") for df in (left, right))
     return (
         left.groupBy("tb", "cb")
@@ -177,10 +184,11 @@ def best_matches(
     Two texts whose score reaches the threshold share a common subsequence of a
     known length, so both turn into the same text when the right characters are
     dropped. All accepted matches are therefore found by an equi-join on such
-    deletion variants. Scores below the threshold, and texts too long for the
-    variants, need a comparison with every known value; only distinct texts that
-    the join left open take that way. ``low_scores=False`` leaves the scores
-    below the threshold out, and with them that comparison.
+    deletion variants. Texts too long for the variants are compared with the known
+    values of those lengths that can reach the threshold. Scores below the threshold
+    need a comparison with every known value; only distinct texts that have no match
+    take that way. ``low_scores=False`` leaves the scores below the threshold out, and
+    with them that comparison.
 
     The distinct unknown and known texts are written once, since the steps are
     chosen by the text lengths that occur.
@@ -198,24 +206,19 @@ def best_matches(
     )
     choices = write_once(choices, "known")
 
-    plan, long = _plan(_lengths(texts), _lengths(choices), threshold)
+    plan, compared = _plan(_lengths(texts), _lengths(choices), threshold)
+    length = F.least(F.length("text"), F.lit(MAX_INDEXED + 1))
     found = []
     if plan:
         found.append(write_once(_by_variants(texts, choices, plan, threshold), "accepted"))
-
-    length = F.least(F.length("text"), F.lit(MAX_INDEXED + 1))
-    is_long = length.isin(sorted(long)) if long else F.lit(False)
-    open_texts = texts
-    if plan and low_scores:
-        done = found[0].select("text").distinct().withColumn("done", F.lit(True))
-        open_texts = texts.join(done, "text", "left").filter(F.col("done").isNull() | is_long).select("text")
-    elif not low_scores:
-        open_texts = texts.filter(is_long)
-    if low_scores or long:
-        open_texts = write_once(open_texts, "open")
-        blocks = [max(1, -(-df.count() // BLOCK)) for df in (open_texts, choices)]
-        compared = _by_blocks(open_texts, choices, *blocks)
-        found.append(compared if low_scores else compared.filter(F.col("score") >= threshold))
+    if compared:
+        mine, theirs = (sorted(set(side)) for side in zip(*compared))
+        near = _by_blocks(texts.filter(length.isin(mine)), choices.filter(length.isin(theirs)))
+        found.append(write_once(near.filter(F.col("score") >= threshold), "accepted"))
+    if low_scores:
+        done = [df.select("text") for df in found]
+        open_texts = texts.join(reduce(DataFrame.union, done).distinct(), "text", "left_anti") if done else texts
+        found.append(_by_blocks(write_once(open_texts, "open"), choices))
 
     if not found:
         return unknown.select("id", F.lit(None).cast("string").alias("match"), F.lit(None).cast("int").alias("score")).limit(0)
@@ -232,17 +235,24 @@ def best_matches(
     return unknown.join(best, "text").select("id", "match", "score")
 
 
-def suggest_ids(quarantined: DataFrame, products: DataFrame, threshold: int = 85, **options) -> DataFrame:
+def unknown_rows(quarantined: DataFrame) -> DataFrame:
+    """Rows whose product id is not known."""
+    return quarantined.filter(has_code("MISMATCHED_PRODUCT_ID"))
+
+
+def suggest_ids(
+    quarantined: DataFrame, products: DataFrame, threshold: int = 85, *, matches: DataFrame | None = None, **options
+) -> DataFrame:
     """Add ``suggested_product_id`` and ``fuzzy_match_score`` to rows with an unknown id.
 
     Ids are only suggested, never repaired. Each distinct unknown id is matched
     once, and the result joined back. The rows are needed for both, so they are
-    written once.
+    written once, unless ``matches`` of all unknown ids are given (see ``best_matches``).
     """
-    quarantined = write_once(quarantined, "quarantined")
-    unmatched = has_code("MISMATCHED_PRODUCT_ID")
-    matches = write_once(best_matches(quarantined.filter(unmatched), products, threshold, **options), "matches")
-    wanted = F.when(unmatched, F.col("product_id").cast("string"))
+    if matches is None:
+        quarantined = write_once(quarantined, "quarantined")
+        matches = write_once(best_matches(unknown_rows(quarantined), products, threshold, **options), "matches")
+    wanted = F.when(has_code("MISMATCHED_PRODUCT_ID"), F.col("product_id").cast("string"))
     return (
         quarantined.withColumn("_wanted", wanted)
         .join(matches.withColumnRenamed("id", "_wanted"), "_wanted", "left")

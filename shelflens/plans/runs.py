@@ -6,6 +6,8 @@ from there.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from shelflens.operators import matching
 from shelflens.operators.metrics import all_metrics, thresholds
 from shelflens.sources import sinks
 from shelflens.sources.readers import load_dataset
-from shelflens.sources.shared import scratch
+from shelflens.sources.shared import scratch, write_once
 
 
 AFFINITY_THRESHOLDS = ("min_support", "min_confidence", "min_lift", "top_n")
@@ -59,11 +61,14 @@ def run_inventory(
     )
 
     written: dict[str, DataFrame | None] = {}
-    for name, rows in (("inventory_snapshot", kept), ("restock_events", tagged)):
-        invalid = rows.filter(is_invalid())
-        with scratch(products.sparkSession):
-            if config.fuzzy_enabled:
-                invalid = matching.suggest_ids(invalid, products, config.fuzzy_threshold)
+    rejected = {"inventory_snapshot": kept.filter(is_invalid()), "restock_events": tagged.filter(is_invalid())}
+    with scratch(products.sparkSession):
+        if config.fuzzy_enabled:
+            # An id that is unknown in both is matched once.
+            unknown = reduce(DataFrame.union, [matching.unknown_rows(df).select(F.col("product_id").cast("string")) for df in rejected.values()])
+            matches = write_once(matching.best_matches(unknown, products, config.fuzzy_threshold), "matches")
+            rejected = {name: matching.suggest_ids(df, products, matches=matches) for name, df in rejected.items()}
+        for name, invalid in rejected.items():
             written[name] = sinks.write_quarantine(inv.quarantine(invalid, name), out, name, config.also_save_csv)
 
     groups = {

@@ -7,6 +7,7 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelflens.config import DATASETS, Dataset
 from shelflens.functions.numbers import lenient_double, lenient_long
@@ -51,12 +52,14 @@ def _read(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
         # Only the header line is read here: all columns stay text. A file of the folder
         # whose columns differ in name or order raises when it is read.
         options = dict(header=True, enforceSchema=False, sep=dataset.delimiter, encoding=dataset.encoding, escape='"')
+        options["multiLine"] = dataset.line_breaks
         raw = spark.read.options(**options).csv(path)
         return raw.select(*[F.when(~F.col(f"`{c}`").isin(NO_VALUE), F.col(f"`{c}`")).alias(c) for c in raw.columns])
     if dataset.file_type == "parquet":
         return spark.read.parquet(path)
     if dataset.file_type == "json":
-        return spark.read.json(path)
+        declared = StructType([StructField(c, StringType()) for c in dataset.columns])
+        return (spark.read.schema(declared) if dataset.columns else spark.read).json(path)
     raise ValueError(f"Unsupported file type: {dataset.file_type}")
 
 

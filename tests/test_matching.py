@@ -90,6 +90,12 @@ def test_long_texts_are_compared(spark, low_scores):
         assert result[text] == (best, plain_score(text, best))
 
 
+def test_a_long_known_id_leaves_short_lengths_to_variants():
+    indexed, compared = matching._plan([20, 22, 24], [24, 25], 85)
+    assert {(a, b) for a, b, *_ in indexed} == {(20, 24), (22, 24), (24, 24)} - set(compared)
+    assert all(b == 25 or (a, b) in {(20, 24)} for a, b in compared)
+
+
 def test_blocks_do_not_change_the_result(spark, monkeypatch):
     draw = random.Random(9)
     known, unknown = sorted(set(words(draw, 50, 4, 6))), sorted(set(words(draw, 30, 4, 8, "abcxyz")))

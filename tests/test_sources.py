@@ -55,6 +55,27 @@ def test_delimiter_encoding_and_formats(spark, tmp_path):
         load_dataset(spark, "f", base, datasets)
 
 
+def test_json_by_declared_columns(spark, tmp_path):
+    lines = ['{"v": 2.0, "id": "1", "day": "2024-01-05"}', '{"id": 7, "note": "not declared"}', '{"v": "oops"}']
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    dataset = Dataset("a.json", file_type="json", columns=("id", "v", "day"), types={"v": "long", "day": "date"})
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = load_dataset(spark, "a", str(tmp_path), {"a": dataset})
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert df.schema.simpleString() == "struct<id:string,v:bigint,day:date>"
+    assert [(r["id"], r["v"], r["day"] and r["day"].isoformat()) for r in df.collect()] == [
+        ("1", 2, "2024-01-05"),
+        ("7", None, None),
+        (None, None, None),
+    ]
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"a\nb"\n2,c\n')
+    df = load_dataset(spark, "a", str(tmp_path), {"a": Dataset("a.csv", line_breaks=True)})
+    assert rows(df) == [("1", "a\nb"), ("2", "c")]
+
+
 def test_malformed_date_raises(spark, tmp_path):
     (tmp_path / "a.csv").write_text("day\nsoon\n")
     df = load_dataset(spark, "a", str(tmp_path), {"a": Dataset("a.csv", types={"day": "date"})})
