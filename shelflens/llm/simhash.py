@@ -26,23 +26,28 @@ BLOCK = 2048
 FRONTIER = 1 << 21
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """SimHash of a UTF-8 text: a bit is 1 if it is set in over half of the shingle hashes.
-
-    Null, empty and blank texts have fingerprint 0.
-    """
+def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
+    """Hashes of the shingles of a UTF-8 text in order; fewer words are one shingle, a text without words has none."""
     words = text.lower().split() if text else []
     n = len(words)
     if not n:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if n <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     lengths = np.fromiter(map(len, words), np.int64, n)
     ends = np.cumsum(lengths + 1) - 1
     spans = zip((ends - lengths)[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, n - shingle + 1)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, n - shingle + 1)
+
+
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    """SimHash of a UTF-8 text: a bit is 1 if it is set in over half of the shingle hashes.
+
+    Null, empty and blank texts have fingerprint 0.
+    """
+    hashes = shingle_hashes(text, shingle)
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         block = hashes[at : at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
