@@ -165,14 +165,18 @@ def _fit(rows: DataFrame, config: QualityConfig, factor: float) -> DataFrame:
     return write_once(fit.select("g", *[f"m{i}" for i in dims], *[f"w{i}_{j}" for i in dims for j in range(i + 1)]), "fit")
 
 
-def _groups(rows: DataFrame, config: QualityConfig, lang: str, source: str) -> DataFrame:
-    """Per language and source, the group it is estimated with."""
+def _groups(rows: DataFrame, config: QualityConfig, lang: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """Per language and source, the group it is estimated with, and all groups that its rows are part of."""
     pair = rows.groupBy(lang, source).agg(F.count("*").alias("n"))
     by_lang = Window.partitionBy(lang)
     pair = pair.withColumn("n_lang", F.sum("n").over(by_lang))
     key = lambda level, *cols: F.xxhash64(F.lit(level), *[x for c in cols for x in (F.coalesce(F.col(c).cast("string"), F.lit("")), F.col(c).isNull())])
-    group = F.when(F.col("n") >= config.min_rows, key(2, lang, source)).when(F.col("n_lang") >= config.min_rows, key(1, lang))
-    return pair.select(F.col(lang).alias("gl"), F.col(source).alias("gs"), group.otherwise(F.lit(0).cast("long")).alias("g"))
+    levels = [key(2, lang, source), key(1, lang), F.lit(0).cast("long")]
+    group = F.when(F.col("n") >= config.min_rows, levels[0]).when(F.col("n_lang") >= config.min_rows, levels[1]).otherwise(levels[2])
+    named = [F.col(lang).alias("gl"), F.col(source).alias("gs")]
+    pair = write_once(pair.select(*named, group.alias("g"), F.array(*[x.alias("g") for x in levels]).alias("levels")), "groups")
+    every = pair.select("gl", "gs", F.explode("levels").alias("g")).join(pair.select("g").distinct(), "g", "left_semi")
+    return pair.drop("levels"), write_once(every, "members")
 
 
 def quality(docs: DataFrame, config: QualityConfig = QualityConfig(), text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
@@ -182,7 +186,8 @@ def quality(docs: DataFrame, config: QualityConfig = QualityConfig(), text: str
     from the rows that pass the base rules: start from medians, fit mean and
     covariance to the 75 % of rows nearest by Mahalanobis distance, choose anew,
     and refit to all rows within the 97.5 % ellipse. A row beyond ``cutoff`` is
-    rejected. Groups of few rows use the estimate of their language, then of all.
+    rejected. Groups of few rows use the estimate of all rows of their language, or
+    of all rows if these are few as well.
 
     Null and empty texts have no words and fail the base rules; their distance is
     null. Null languages and sources are groups like others. Repeated rows count
@@ -198,10 +203,10 @@ def quality(docs: DataFrame, config: QualityConfig = QualityConfig(), text: str
     rows = rows.withColumns({"base_failed": failed, **{f"x{i}": x for i, x in enumerate(_vector())}})
     rows = write_once(rows, "stats")
     passed = rows.filter(~F.col("base_failed"))
-    groups = write_once(_groups(passed, config, "gl", "gs"), "groups")
+    groups, every = _groups(passed, config, "gl", "gs")
     same = lambda a, b: a["gl"].eqNullSafe(b["gl"]) & a["gs"].eqNullSafe(b["gs"])
     dims = range(len(config.floors))
-    named = passed.join(groups, same(passed, groups)).select(groups["g"], *[f"x{i}" for i in dims])
+    named = passed.join(every, same(passed, every)).select(every["g"], *[f"x{i}" for i in dims])
     fit = _centre(named, config)
     for _ in range(config.steps):
         near = named.join(fit, "g").select("g", *[f"x{i}" for i in dims], _distance(dims).alias("d"))

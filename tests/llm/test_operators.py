@@ -156,6 +156,17 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert all(found[i].kept for i in range(400)) and not any(found[1000 + i].kept for i in range(40))
 
 
+def test_few_rows_use_the_estimate_of_all_rows_above(spark):
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(2, 9)))
+    clean = lambda: " ".join(word() for _ in range(int(rng.integers(60, 400))))
+    junk = " ".join(word() + "***" for _ in range(200))
+    rows = [(i, clean(), "en", "s") for i in range(300)] + [(1000 + i, junk, "en", "rare") for i in range(5)]
+    rows += [(2000 + i, junk, "xx", "s") for i in range(5)] + [(3000, clean(), "en", "rare"), (3001, clean(), "xx", "s")]
+    found = by_id(quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
+    assert all(r.kept == (i < 1000 or i >= 3000) for i, r in found.items())
+
+
 # Licenses
 
 
