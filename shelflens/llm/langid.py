@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,11 +20,9 @@ ORDER = 4
 UNIT = 16
 VOCABULARY = 1 << UNIT
 GAP = 32
-# A model stores at most 2**BITS n-grams per order for up to 4 languages, and half as many
-# for each doubling of the languages: its size is bounded whatever the corpus. Of n-grams
-# whose hashes share the first bits the likeliest is stored, the others are left to the
-# shorter model.
-BITS = 20
+# Values (n-grams times languages) that one part of a model holds, about; a larger model is
+# cut into parts, and the texts are scored with one after the other.
+VALUES = 1 << 22
 FACTOR = 0x9E3779B97F4A7C15
 # Texts scored at a time.
 ROWS = 512
@@ -32,10 +30,6 @@ ROWS = 512
 SURE = 100
 
 
-def model_bits(languages: int) -> int:
-    return max(8, BITS - math.ceil(math.log2(max(languages, 4) / 4)))
-
-
 def _letter_table() -> np.ndarray:
     """Which 16-bit units belong to letters; units of surrogate pairs are taken as such."""
     return np.array([chr(c).isalpha() or 0xD800 <= c < 0xE000 for c in range(VOCABULARY)])
@@ -123,12 +117,14 @@ def _suffix(k: int) -> Column:
 class Model:
     """Sorted 64-bit hashes of n-grams per order, with a column of log values per language.
 
-    The value of an n-gram that a language doesn't have is NaN, that of a context 0.
+    The value of an n-gram that a language doesn't have is NaN, that of a context 0. A part
+    of a model holds all that n-grams with one of its last characters but one need.
     """
 
     languages: list[str]
     grams: dict[int, tuple[np.ndarray, np.ndarray]]
     contexts: dict[int, tuple[np.ndarray, np.ndarray]]
+    units: np.ndarray
 
     def log_p(self, key: np.ndarray) -> np.ndarray:
         """Log probability of the last character of each n-gram given those before, per language."""
@@ -157,12 +153,19 @@ def hash_keys(gram: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """A model per language of the rows whose text and language are not null.
+    """A model per language of the rows whose text and language are not null, in one part (see ``train_parts``)."""
+    return next(train_parts(docs, text, lang, None)[1])
+
+
+def train_parts(docs: DataFrame, text: str = "text", lang: str = "lang", values: int | None = VALUES) -> tuple[int, Iterator[Model]]:
+    """The number of parts of a model per language, and the parts one by one; every n-gram is in one of them.
 
     The highest order counts occurrences, the lower ones in how many different n-grams
     they end; every order gives up an estimated discount to the next lower one. Counts
-    are summed in Spark over all rows; the driver gets the stored entries only, whose
-    number is bounded (``model_bits``).
+    are summed in Spark over all rows. An n-gram, its context and the shorter ones it
+    falls back to share the last character but one, by which the parts are cut: each
+    holds about ``values`` at most, unless one character alone has more. Single
+    characters are in every part.
     """
     docs = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     grams = {ORDER: write_once(gram_counts(docs, text, lang), "grams")}
@@ -170,28 +173,36 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         shorter = grams[k].groupBy("lang", _suffix(k).alias("gram")).agg(F.count("*").alias("n"))
         grams[k - 1] = write_once(shorter, "grams")
     languages = sorted(r.lang for r in grams[1].select("lang").distinct().collect())
-    bits, tables, lower = model_bits(len(languages)), [], None
+    tables, lower = [], None
     for k in range(1, ORDER + 1):
         lower, contexts = _order(grams[k], lower, k)
         lower = write_once(lower, "order")
-        tables += [lower.select(F.lit(k).alias("k"), F.lit(True).alias("own"), "*"), contexts.select(F.lit(k).alias("k"), F.lit(False).alias("own"), "*")]
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks = hash_keys(batch.column(3).to_numpy().view(np.uint64))
-            slots = (marks >> np.uint64(64 - bits)).view(np.int64)
-            columns = [*batch.columns[:3], pa.array(marks.view(np.int64)), pa.array(slots), batch.column(4)]
-            yield pa.RecordBatch.from_arrays(columns, names=["k", "own", "lang", "mark", "slot", "p"])
-
-    union = reduce(DataFrame.union, tables).select("k", "own", "lang", "gram", "p")
-    entries = union.mapInArrow(hashed, "k int, own boolean, lang string, mark long, slot long, p double")
-    entries = write_once(entries, "entries")
-    each = entries.groupBy("k", "own", "slot", "mark").agg(F.max("p").alias("most"))
-    first = each.groupBy("k", "own", "slot").agg(F.max(F.struct("most", "mark"))["mark"].alias("mark"))
-    entries = entries.join(first, ["k", "own", "slot", "mark"]).select("k", "own", "lang", "mark", F.log("p").alias("value")).toArrow()
+        for own, one in ((True, lower), (False, contexts)):
+            unit = (F.shiftrightunsigned("gram", UNIT) if own else F.col("gram")).bitwiseAND(VOCABULARY - 1)
+            unit = F.lit(-1) if k == 1 else unit.cast("int")
+            tables.append(one.select(F.lit(k).alias("k"), F.lit(own).alias("own"), unit.alias("unit"), "lang", "gram", F.log("p").alias("value")))
+    entries = write_once(reduce(DataFrame.union, tables), "entries")
+    sizes = entries.filter("unit >= 0").groupBy("k", "own", "unit", "gram").agg(F.lit(1).alias("one")).groupBy("unit").agg(F.count("*").alias("n"))
+    part_of, filled = np.zeros(VOCABULARY, np.int64), [0]
+    for row in sizes.orderBy("unit").collect() if values else []:
+        if filled[-1] and (filled[-1] + row.n) * len(languages) > values:
+            filled.append(0)
+        filled[-1] += row.n
+        part_of[row.unit] = len(filled) - 1
+
+    def part(i: int) -> Model:
+        mine = entries
+        if len(filled) > 1:
+            mine = entries.filter((F.col("unit") < 0) | F.col("unit").isin(np.flatnonzero(part_of == i).tolist()))
+        return _stored(mine.select("k", "own", "lang", "gram", "value").toArrow(), languages, part_of == i)
+
+    return len(filled), map(part, range(len(filled)))
+
+
+def _stored(entries: pa.Table, languages: list[str], units: np.ndarray) -> Model:
     column = {name: i for i, name in enumerate(languages)}
-    k, own, mark, value = (entries.column(c).to_numpy() for c in ("k", "own", "mark", "value"))
-    mark = mark.view(np.uint64)
+    k, own, gram, value = (entries.column(c).to_numpy() for c in ("k", "own", "gram", "value"))
+    mark = hash_keys(gram.view(np.uint64))
     lang_at = np.array([column[x] for x in entries.column("lang").to_pylist()], np.int64)
 
     def stored(which: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
@@ -202,10 +213,11 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     orders = range(1, ORDER + 1)
     own = own.astype(bool)
-    return Model(languages, {i: stored((k == i) & own, np.nan) for i in orders}, {i: stored((k == i) & ~own, 0.0) for i in orders})
+    grams, contexts = {i: stored((k == i) & own, np.nan) for i in orders}, {i: stored((k == i) & ~own, 0.0) for i in orders}
+    return Model(languages, grams, contexts, units)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def predict(docs: DataFrame, parts: Iterator[Model] | Sequence[Model], count: int = 1, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Rows of ``keep`` (default: all columns) with ``lang_pred``, ``score`` and ``cross_entropy`` (nats a character).
 
     The language of the lowest length-normalised cross-entropy over the whole text
@@ -213,11 +225,23 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     100 characters at most. Null texts, texts without a letter, and all texts if no
     language was learned are ``und`` with score 0 and null cross-entropy. Repeated rows
     get equal results, an empty table gives an empty one, columns named like the added
-    ones are replaced.
+    ones are replaced. Each of the ``count`` parts of the model adds its n-grams'
+    share of the sums; between two parts the rows are written to the shared folder.
     """
     added = ["lang_pred", "score", "cross_entropy"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(*keep, F.lit(None).cast("array<double>").alias(f"{MARK}sums"), F.col(text).alias(f"{MARK}text"))
+    for i, part in enumerate(parts):
+        rows = _add(rows, part, keep, added, i == 0, i == count - 1)
+        rows = rows if i == count - 1 else write_once(rows, "sums")
+    return rows
+
+
+def _add(rows: DataFrame, model: Model, keep: list[str], added: list[str], first: bool, last: bool) -> DataFrame:
+    """Adds what a part of the model knows to each row's sums; the last part makes them the result."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    schema = with_field(rows.select(*keep).schema, lang_pred=StringType(), score=DoubleType(), cross_entropy=DoubleType())
+    before = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letter = shared.value, _letter_table()
@@ -225,42 +249,53 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                texts = part.column(len(keep)).to_pylist()
+                texts = part.column(len(keep) + 1).to_pylist()
                 usable = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if model.languages else []
                 best, score, entropy = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), np.full(len(texts), np.nan)
+                sums = np.zeros((len(texts), len(model.languages)))
+                if not first:
+                    sums += part.column(len(keep)).flatten().to_numpy().reshape(sums.shape)
                 if usable:
                     key, of = keys([texts[i] for i in usable], letter)
                     grams, where = np.unique(key, return_inverse=True)
+                    inside = model.units[(grams >> np.uint64(UNIT)) & np.uint64(VOCABULARY - 1)]
+                    log_p = np.zeros((len(grams), len(model.languages)))
+                    log_p[inside] = model.log_p(grams[inside])
                     # Summed text by text over the n-grams in place.
-                    log_p = model.log_p(grams)[where]
+                    log_p = log_p[where]
                     starts = np.searchsorted(of, np.arange(len(usable)))
+                    sums[usable] += np.add.reduceat(log_p, starts, axis=0)
+                if not last:
+                    added_up = pa.array(list(sums), pa.list_(pa.float64()))
+                    yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], added_up, part.column(len(keep) + 1)], names=before)
+                    continue
+                if usable:
                     n = np.diff(np.r_[starts, len(of)])
-                    cross = -np.add.reduceat(log_p, starts, axis=0) / n[:, None]
+                    cross = -sums[usable] / n[:, None]
                     order = cross.argmin(axis=1)
                     least = cross.min(axis=1)
                     share = np.exp((least[:, None] - cross) * np.minimum(n, SURE)[:, None])
                     best[usable], score[usable], entropy[usable] = order, 1 / share.sum(axis=1), least
                 columns = [pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(entropy, from_pandas=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=[*keep, *added])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=[*keep, *added])
 
-    schema = with_field(docs.select(*keep).schema, lang_pred=StringType(), score=DoubleType(), cross_entropy=DoubleType())
-    return docs.select(*keep, F.col(text).alias(f"{MARK}text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema if last else rows.schema)
 
 
-def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", keep: list[str] | None = None, deviations: float = 4.0) -> DataFrame:
+def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", keep: list[str] | None = None, deviations: float = 4.0, values: int = VALUES) -> DataFrame:
     """Trains on the rows where ``learn`` holds, predicts all, and calibrates the rejection.
 
     ``rejected`` says that a text's cross-entropy lies over ``deviations`` standard
     deviations above the mean of the learned texts of its language; ``lang_pred`` still
-    names the nearest language. ``und`` is always rejected. See ``train`` and
+    names the nearest language. ``und`` is always rejected. See ``train_parts`` and
     ``predict``. Starts jobs and writes to the shared folder.
     """
     added = ["lang_pred", "score", "cross_entropy", "rejected"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     held = [F.col(c).alias(f"{MARK}k{i}") for i, c in enumerate(keep)]
     rows = docs.select(*held, F.col(lang).cast("string").alias(f"{MARK}lang"), F.coalesce(learn, F.lit(False)).alias(f"{MARK}learn"), F.col(text).alias(f"{MARK}t"))
-    model = train(rows.filter(f"{MARK}learn"), f"{MARK}t", f"{MARK}lang")
-    found = write_once(predict(rows, model, f"{MARK}t", [c for c in rows.columns if c != f"{MARK}t"]), "predicted")
+    count, parts = train_parts(rows.filter(f"{MARK}learn"), f"{MARK}t", f"{MARK}lang", values)
+    found = write_once(predict(rows, parts, count, f"{MARK}t", [c for c in rows.columns if c != f"{MARK}t"]), "predicted")
     own = found.filter((F.col(f"{MARK}lang") == F.col("lang_pred")) & F.col(f"{MARK}learn"))
     limits = own.groupBy("lang_pred").agg((F.avg("cross_entropy") + deviations * F.coalesce(F.stddev("cross_entropy"), F.lit(0.0))).alias(f"{MARK}limit"))
     found = found.join(limits, "lang_pred", "left")

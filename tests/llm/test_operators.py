@@ -376,6 +376,24 @@ def test_kneser_ney_sums_to_one(spark):
         assert np.allclose(np.exp(model.log_p(key + letters)).sum(axis=0), 1)
 
 
+def test_every_gram_is_kept(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (20_000, 4))]
+    grams = {one[i : i + 4] for one in ["   " + " ".join(words) + " "] for i in range(len(one) - 3)}
+    model = langid.train(spark.createDataFrame([(" ".join(words), "x")], "text string, lang string"))
+    assert len(model.grams[4][0]) == len(grams)
+
+
+def test_parts_score_like_the_whole(docs):
+    few = docs.limit(60).localCheckpoint()
+    count, _ = langid.train_parts(few, values=20_000)
+    whole, parts = (by_id(langid.identify(few, F.lit(True), values=v)) for v in (10**9, 20_000))
+    assert count > 2 and whole.keys() == parts.keys()
+    for i, r in whole.items():
+        assert (r.lang_pred, r.rejected) == (parts[i].lang_pred, parts[i].rejected)
+        assert r.cross_entropy is None or parts[i].cross_entropy == pytest.approx(r.cross_entropy)
+
+
 def test_texts_without_letters(odd):
     found = by_id(langid.identify(odd.filter("doc_id is not null"), F.lit(True)))
     assert found[0].lang_pred == found[1].lang_pred == found[2].lang_pred == "und" and found[0].score == 0
