@@ -147,8 +147,7 @@ def shard_links(shard: np.ndarray, marks: np.ndarray, is_query: np.ndarray, radi
     keys, children = build_forest(marks, root, np.flatnonzero(~is_query))
     trees = np.add.reduceat((~is_query).astype(np.int64), starts)[np.cumsum(first) - 1]
     labels = np.arange(n)
-    queries = np.flatnonzero(trees > is_query)  # a tree of one node has nothing to find for that node
-    queries = queries[~is_query[root[queries]] & ((trees[queries] > 1) | is_query[queries])]
+    queries = np.flatnonzero((trees > 1) | (is_query & (trees > 0)))  # a tree of one node has nothing to find for that node
     step = np.cumsum(trees[queries]) // FRONTIER
     for part in np.split(queries, np.flatnonzero(np.diff(step)) + 1):
         if len(part):

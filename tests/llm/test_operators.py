@@ -293,6 +293,12 @@ def test_dense_shards_in_blocks(spark, block, parts):
     assert [found.get(m, m) for m in signed] == slow_classes(marks, signed)
 
 
+def test_blocks_of_one_node():
+    shard, marks = np.array([1, 1, 2, 3, 4, 4]), np.array([0, 7, 0, 1, 2, 3], np.uint64)
+    a, b = simhash.shard_links(shard, marks, np.array([False, True, False, True, True, True]), 4)
+    assert (a.tolist(), b.tolist()) == ([7], [0])
+
+
 def test_one_stays(odd):
     kept = simhash.keep_one(odd).collect()
     ids = [r.doc_id for r in kept]
