@@ -238,17 +238,18 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, config: HnswConfig =
     good = good.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0))).withColumn("class", F.xxhash64("vector"))
     good = write_once(good, "vectors")
     within = Window.partitionBy("class", "vector").orderBy("id")
-    members = good.select("class", "vector", "id").withColumn("nth", F.row_number().over(within)).filter(F.col("nth") <= k + 1)
-    members = members.groupBy("class", "vector").agg(F.array_sort(F.array_distinct(F.collect_list("id"))).alias("ids"))
+    members = good.select("class", "vector", "id").dropDuplicates().withColumn("nth", F.row_number().over(within)).filter(F.col("nth") <= k + 1)
+    members = members.groupBy("class", "vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     members = write_once(members, "members")
     totals = members.agg(F.count("*"), F.max(_length(F.col("vector")))).first()
     shards, longest = max(1, -(-totals[0] // config.shard_rows)), float(totals[1] or 1.0)
     index = write_once(build_index(members.select("class", "vector"), longest, shards, config), "index")
     queries = good.filter(F.coalesce("asked", F.lit(False))).select(F.col("id").alias("query_id"), "vector").distinct()
     found = search(index, queries, longest, k + 1, config)
-    # Only the best k + 1 classes of a query can hold its k nearest: one class may be the query alone.
-    top = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "class")
-    found = found.withColumn("nth", F.row_number().over(top)).filter(F.col("nth") <= k + 1).drop("nth")
+    # Only the best k + 1 classes of a query can hold its k nearest: one class may be the query alone. Ties go to the smallest id.
+    found = found.join(members.select("class", F.element_at("ids", 1).alias("low")), "class")
+    top = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "low")
+    found = found.withColumn("nth", F.row_number().over(top)).filter(F.col("nth") <= k + 1).drop("nth", "low")
     each = found.join(members.select("class", "ids"), "class").select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     each = each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

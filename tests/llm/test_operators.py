@@ -254,6 +254,13 @@ def slow_classes(marks, ids, radius=4):
     return [least[find(i)] for i in range(len(ids))]
 
 
+def test_repeated_rows_use_up_no_ids(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(25)] * 2 + [(30, [2.0, 1.0])] * 30
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = hnsw.nearest(df, F.col("vec_id") == 3, k=20).orderBy("rank").collect()
+    assert [r.vec_id for r in found] == [i for i in range(21) if i != 3]
+
+
 def test_fingerprint():
     def plain(text):
         w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode()))
