@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks import roles
 from checks.compare import compare, connect
 from checks.queries import ORACLES, QUERIES
+from shelflens.operators import fraud
 from shelflens.operators.fraud import join_behaviour, refund_behaviour
 from shelflens.operators.inventory import tag_snapshot
 from shelflens.sources.shared import write_once
@@ -43,8 +45,16 @@ def test_no_cross_join(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_columns_and_filters_reach_the_scan(spark):
-    plan = plan_of(QUERIES["refund_behaviour"](spark, SF))
+def test_columns_and_filters_reach_the_scan(spark, monkeypatch):
+    written = []
+
+    def keep_plan(df, name):
+        written.append(plan_of(df))
+        return write_once(df, name)
+
+    monkeypatch.setattr(fraud, "write_once", keep_plan)
+    refund_behaviour(roles.refunds(spark, SF))
+    (plan,) = written
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan
     assert "l_shipdate" not in plan
 
