@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflens.llm import bpe, mixing, pii, quality, resemblance
+from shelflens.llm import bpe, mixing, pii, quality, simhash
 from shelflens.llm.common import MARK, write_once
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -33,8 +33,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of 5-word shingles 0.8 similar or more: the one with the smallest doc_id."""
-    return resemblance.keep_one(docs)
+    """One document of each group that fingerprints of 4-word shingles link at 4 or fewer differing bits: the one with the smallest doc_id."""
+    return simhash.keep_one(docs, radius=simhash.RADIUS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
