@@ -365,9 +365,25 @@ def test_shards(spark, docs):
         assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in both.collect())
         order = [r.doc_id for r in sorted(rows, key=lambda r: (r.shard, r.slot))]
         assert abs(np.corrcoef(order, range(len(order)))[0, 1]) < 0.2
+        if bucket == 1 << 24:  # one bucket: the order is that of one seeded shuffle, with its swaps replayed
+            want, picks = list(range(both.count())), np.random.default_rng([7, 0]).random(both.count())
+            for i in reversed(range(1, len(want))):
+                j = int(picks[i] * (i + 1))
+                want[i], want[j] = want[j], want[i]
+            ids = [r.doc_id for r in both.withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect()]
+            assert order == [ids[i] for i in want]
     few = sharding.shuffle_shards(both.limit(3), 16).collect()
     assert sorted((r.shard, r.slot) for r in few) == [(0, 0), (1, 0), (2, 0)]
     assert sorted(sharding.permutation(1000, 1)) == list(range(1000))
+    plan = sharding.shuffle_shards(both, 16)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_sl_bucket") == 1  # records move once
+
+
+def test_starts_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 4)
+    buckets = [b for b in range(40) for _ in range(b * 7 % 5)]
+    found = sharding.bucket_starts(spark.createDataFrame([(b,) for b in buckets], "b int"), "b").collect()
+    assert {r.b: (r.start, r["all"]) for r in found} == {b: (buckets.index(b), len(buckets)) for b in set(buckets)}
 
 
 # Languages
