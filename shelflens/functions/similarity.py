@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,48 +75,3 @@ def score(left: Column, right: Column) -> Column:
     return F.when(total == 0, 0).otherwise(
         F.bround(F.lit(200.0) * lcs_length(left, right) / total, 0).cast("int")
     )
-
-
-def needed_lcs(left_length: int, right_length: int, threshold: int) -> int:
-    """Smallest common subsequence length that can reach the threshold."""
-    return -(-(2 * threshold - 1) * (left_length + right_length) // 400)
-
-
-def block_scores(text: str, choices: list[str], masks: dict[str, np.ndarray], lengths: np.ndarray) -> np.ndarray:
-    """Scores of one text against a block of choices of at most 64 characters."""
-    free = np.full(len(choices), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for char in text:
-        here = masks.get(char)
-        if here is not None:
-            used = free & here
-            free = (free + used) | (free - used)
-    matched = 64 - np.bitwise_count(free).astype(np.int64)
-    total = lengths + len(text)
-    return np.rint(200.0 * matched / np.maximum(total, 1)).astype(np.int64)
-
-
-def block_masks(choices: list[str]) -> dict[str, np.ndarray]:
-    """Per character, the positions it takes in every choice, as bits."""
-    masks: dict[str, np.ndarray] = {}
-    for row, choice in enumerate(choices):
-        for place, char in enumerate(choice):
-            if char not in masks:
-                masks[char] = np.zeros(len(choices), dtype=np.uint64)
-            masks[char][row] |= np.uint64(1 << place)
-    return masks
-
-
-def long_score(left: str, right: str) -> int:
-    """Score of one pair of any length, with the bits in a Python integer."""
-    if not left or not right:
-        return 0
-    full = (1 << len(right)) - 1
-    masks: dict[str, int] = {}
-    for place, char in enumerate(right):
-        masks[char] = masks.get(char, 0) | (1 << place)
-    free = full
-    for char in left:
-        used = free & masks.get(char, 0)
-        free = ((free + used) | (free - used)) & full
-    matched = len(right) - free.bit_count()
-    return int(np.rint(200.0 * matched / (len(left) + len(right))))

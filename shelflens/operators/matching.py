@@ -3,168 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelflens.config import SKU_PATTERN
 from shelflens.functions import similarity
 from shelflens.functions.rules import has_code
-from shelflens.functions.similarity import block_masks, block_scores, long_score
+from shelflens.operators.nearest import nearest
 from shelflens.sources.shared import write_once
 
-# The block comparison runs in Python workers; its helpers travel with the job,
-# so the package need not be installed on the executors.
-cloudpickle.register_pickle_by_value(similarity)
-
-# A pair of lengths is searched through shared deletion variants if neither
-# text must lose more than MAX_DELETIONS characters and none is longer than
-# MAX_INDEXED; every other pair of lengths is compared block by block.
-MAX_DELETIONS = 4
-MAX_INDEXED = 24
-BLOCK = 1024
-# Pairs of blocks that one task compares, and texts whose variants one task makes, about.
-BLOCK_PAIRS = 4
-VARIANT_TEXTS = 1 << 13
-
-
-def _plan(
-    mine: list[int], theirs: list[int], threshold: int
-) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
-    """What pairs of text lengths need, from the few lengths that occur.
-
-    Gives (length, partner length, characters to drop, partner's to drop) for the
-    pairs searched through variants, and (length, partner length) for the pairs
-    that can reach the threshold but are too long for that.
-    """
-    indexed, compared = [], []
-    for a in mine:
-        for b in theirs:
-            keep = similarity.needed_lcs(a, b, threshold)
-            if keep > min(a, b):
-                continue
-            if max(a, b) <= MAX_INDEXED and max(a, b) - keep <= MAX_DELETIONS:
-                indexed.append((a, b, a - keep, b - keep))
-            else:
-                compared.append((a, b))
-    return indexed, compared
-
-
-def _deletion_variants(df: DataFrame, pairs: list[tuple[int, int, int]]) -> DataFrame:
-    """Texts with characters removed in every way, as ``variant``.
-
-    ``pairs`` lists (length, partner length, characters to drop); ``partners`` are
-    the partner lengths a variant is meant for. The places of removed characters
-    never decrease, so each choice of places occurs once.
-    """
-    by_length: dict[int, dict[int, list[int]]] = {}
-    for length, partner, drop in pairs:
-        by_length.setdefault(length, {}).setdefault(drop, []).append(partner)
-    entries = []
-    for length, drops in sorted(by_length.items()):
-        wanted = [
-            F.struct(F.lit(drop).alias("drop"), F.array(*map(F.lit, partners)).alias("partners"))
-            for drop, partners in sorted(drops.items())
-        ]
-        entries += [F.lit(length), F.array(*wanted)]
-    level = df.select("*", F.inline(F.try_element_at(F.create_map(*entries), F.length("text")))).withColumns(
-        {"variant": F.col("text"), "first": F.lit(1)}
-    )
-    variants = level.filter("drop = 0")
-    for drop in range(1, max(d for _, _, d in pairs) + 1):
-        level = (
-            level.filter((F.col("drop") >= drop) & (F.length("variant") >= F.col("first")))
-            .withColumn("first", F.explode(F.sequence(F.col("first"), F.length("variant"))))
-            .withColumn("variant", F.expr("concat(substring(variant, 1, first - 1), substring(variant, first + 1))"))
-        )
-        variants = variants.unionByName(level.filter(F.col("drop") == drop))
-    return variants.drop("first", "drop")
-
-
-def _by_variants(texts: DataFrame, choices: DataFrame, plan: list[tuple[int, int, int, int]], threshold: int) -> DataFrame:
-    """Scored pairs that reach the threshold, found by an equi-join on variants."""
-    least = texts.sparkSession.sparkContext.defaultParallelism
-
-    def spread(df: DataFrame) -> DataFrame:
-        # Few bytes, but much work per row: without this, a small table is one task.
-        return df.repartition(max(least, df.count() // VARIANT_TEXTS), "text")
-
-    mine = _deletion_variants(spread(texts), [(a, b, drop) for a, b, drop, _ in plan])
-    theirs = _deletion_variants(spread(choices), [(b, a, drop) for a, b, _, drop in plan])
-    theirs = theirs.withColumnsRenamed({"text": "other", "partners": "other_partners"})
-    meant = F.array_contains("partners", F.length("other")) & F.array_contains("other_partners", F.length("text"))
-    return (
-        mine.join(theirs, "variant")
-        .filter(meant)
-        .select("text", "other", "rank", "choice")
-        .distinct()
-        .withColumn("score", similarity.score(F.col("text"), F.col("other")))
-        .filter(F.col("score") >= threshold)
-        .select("text", "score", "rank", "choice")
-    )
-
-
-def _by_blocks(texts: DataFrame, choices: DataFrame) -> DataFrame:
-    """Best choice of every text, by comparing blocks of bounded size.
-
-    Both sides are distinct, written, and cut into blocks of about BLOCK texts by a
-    hash. Two blocks at a time are compared, which gives one row per text.
-    """
-    text_blocks, choice_blocks = (max(1, -(-df.count() // BLOCK)) for df in (texts, choices))
-
-    def block(blocks: int) -> Column:
-        return F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int")
-
-    def every(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    left = texts.select("text", block(text_blocks).alias("tb"), every(choice_blocks).alias("cb"))
-    right = choices.select("text", "rank", "choice", block(choice_blocks).alias("cb"), every(text_blocks).alias("tb"))
-
-    def best(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        theirs = theirs.sort_values("rank")
-        fits = theirs["text"].str.len() <= 64
-        short, long = theirs[fits], theirs[~fits]
-        others = short["text"].tolist()
-        masks = block_masks(others)
-        lengths = short["text"].str.len().to_numpy(dtype=np.int64)
-        rows = []
-        for text in mine["text"]:
-            found = []
-            if others:
-                scores = block_scores(text, others, masks, lengths)
-                place = int(scores.argmax())
-                found.append((-int(scores[place]), short["rank"].iat[place], short["choice"].iat[place]))
-            found += [
-                (-long_score(text, other), rank, choice)
-                for other, rank, choice in zip(long["text"], long["rank"], long["choice"])
-            ]
-            if found:
-                lowest = min(found)
-                rows.append((text, -lowest[0], lowest[1], lowest[2]))
-        return pd.DataFrame(rows, columns=["text", "score", "rank", "choice"])
-
-    rank_type = choices.schema["rank"].dataType.simpleString()
-    # A fixed number of partitions, for AQE would merge these small ones into one task.
-    least = texts.sparkSession.sparkContext.defaultParallelism
-    tasks = max(min(text_blocks * choice_blocks, least), text_blocks * choice_blocks // BLOCK_PAIRS)
-    left, right = (df.repartition(tasks, "tb", "cb") for df in (left, right))
-    return (
-        left.groupBy("tb", "cb")
-        .cogroup(right.groupBy("tb", "cb"))
-        .applyInPandas(best, f"text string, score int, rank {rank_type}, choice string")
-    )
-
-
-def _lengths(df: DataFrame) -> list[int]:
-    """The lengths that occur; those beyond MAX_INDEXED count as one."""
-    rows = df.select(F.least(F.length("text"), F.lit(MAX_INDEXED + 1)).alias("n")).distinct().collect()
-    return sorted(row["n"] for row in rows)
-
 
 def best_matches(
     ids: DataFrame,
@@ -181,17 +29,12 @@ def best_matches(
     ``match`` is null below the threshold while the score is kept. Equal scores
     go to the first known value by ``order``, or to the smallest.
 
-    Two texts whose score reaches the threshold share a common subsequence of a
-    known length, so both turn into the same text when the right characters are
-    dropped. All accepted matches are therefore found by an equi-join on such
-    deletion variants. Texts too long for the variants are compared with the known
-    values of those lengths that can reach the threshold. Scores below the threshold
-    need a comparison with every known value; only distinct texts that have no match
-    take that way. ``low_scores=False`` leaves the scores below the threshold out, and
-    with them that comparison.
+    Distinct normalized texts are searched for in tries of the known ones (see
+    ``nearest``); the better the score found so far, the less is left to visit.
+    ``low_scores=False`` leaves the scores below the threshold out, so that the search
+    begins with the threshold.
 
-    The distinct unknown and known texts are written once, since the steps are
-    chosen by the text lengths that occur.
+    The distinct unknown and known texts are written once. Starts jobs.
     """
     value = F.col(column).cast("string")
     unknown = ids.filter(value.isNotNull()).select(value.alias("id")).distinct()
@@ -206,24 +49,9 @@ def best_matches(
     )
     choices = write_once(choices, "known")
 
-    plan, compared = _plan(_lengths(texts), _lengths(choices), threshold)
-    length = F.least(F.length("text"), F.lit(MAX_INDEXED + 1))
-    found = []
-    if plan:
-        found.append(write_once(_by_variants(texts, choices, plan, threshold), "accepted"))
-    if compared:
-        mine, theirs = (sorted(set(side)) for side in zip(*compared))
-        near = _by_blocks(texts.filter(length.isin(mine)), choices.filter(length.isin(theirs)))
-        found.append(write_once(near.filter(F.col("score") >= threshold), "accepted"))
-    if low_scores:
-        done = [df.select("text") for df in found]
-        open_texts = texts.join(reduce(DataFrame.union, done).distinct(), "text", "left_anti") if done else texts
-        found.append(_by_blocks(write_once(open_texts, "open"), choices))
-
-    if not found:
-        return unknown.select("id", F.lit(None).cast("string").alias("match"), F.lit(None).cast("int").alias("score")).limit(0)
     best = (
-        reduce(DataFrame.unionByName, found)
+        nearest(texts, choices, threshold, low_scores)
+        .filter(F.col("score") >= (0 if low_scores else threshold))
         .groupBy("text")
         .agg(F.min(F.struct((-F.col("score")).alias("minus"), "rank", "choice")).alias("best"))
         .select(

@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelflens.functions import similarity
-from shelflens.operators import matching
+from shelflens.functions import similarity, tries
+from shelflens.operators import matching, nearest
+from shelflens.sources.shared import write_once
 from tests.conftest import rows
 
 
@@ -43,7 +45,7 @@ def test_scores(spark):
     df = spark.createDataFrame(pairs, "a string, b string")
     for row in df.select("a", "b", similarity.score(F.col("a"), F.col("b")).alias("s")).collect():
         assert row["s"] == plain_score(row["a"], row["b"]), row
-        assert similarity.long_score(row["a"], row["b"]) == row["s"]
+        assert tries.Tries([row["b"]]).best([row["a"]], np.array([-1]), 85)[0].tolist() == [row["s"]]
     assert plain_score("prod_001", "prd001") == 86
 
 
@@ -78,10 +80,10 @@ def test_best_matches(spark, threshold):
 
 
 @pytest.mark.parametrize("low_scores", [True, False])
-def test_long_texts_are_compared(spark, low_scores):
-    """Texts too long for deletion variants, also beyond the 64 bits of a word."""
+def test_long_texts(spark, low_scores):
+    """Texts beyond the 64 bits of a word, and beyond the positions that a summary keeps."""
     draw = random.Random(4)
-    known = words(draw, 12, 26, 40) + words(draw, 6, 65, 90) + words(draw, 10, 18, 24)
+    known = words(draw, 12, 26, 40) + words(draw, 6, 65, 90) + words(draw, 10, 18, 24) + words(draw, 3, 270, 300)
     unknown = [k[:3] + k[5:] for k in known]
     found = matching.best_matches(frame(spark, unknown), frame(spark, known), 85, low_scores=low_scores)
     result = {r["id"]: (r["match"], r["score"]) for r in found.collect()}
@@ -90,18 +92,54 @@ def test_long_texts_are_compared(spark, low_scores):
         assert result[text] == (best, plain_score(text, best))
 
 
-def test_a_long_known_id_leaves_short_lengths_to_variants():
-    indexed, compared = matching._plan([20, 22, 24], [24, 25], 85)
-    assert {(a, b) for a, b, *_ in indexed} == {(20, 24), (22, 24), (24, 24)} - set(compared)
-    assert all(b == 25 or (a, b) in {(20, 24)} for a, b in compared)
-
-
-def test_blocks_do_not_change_the_result(spark, monkeypatch):
+@pytest.mark.parametrize("frontier, cells", [(4, 1), (1 << 16, 1 << 21)])
+def test_tries_like_all_pairs(monkeypatch, frontier, cells):
+    monkeypatch.setattr(tries, "FRONTIER", frontier)
+    monkeypatch.setattr(tries, "CELLS", cells)
+    draw = random.Random(frontier)
+    for _ in range(30):
+        letters, longest = "abc01é漢"[: draw.randint(2, 7)], draw.choice([8, 8, 150])
+        known = sorted(set(words(draw, draw.randint(1, 40), 0, longest, letters)))
+        texts = words(draw, 12, 0, longest + 2, letters + "xy") + known[:3]
+        threshold = draw.choice([30, 60, 85])
+        least = np.array([draw.choice([-1, -1, 20, 60, threshold - 1, threshold]) for _ in texts])
+        best, pairs, _ = tries.Tries(known).best(texts, least, threshold)
+        found = {(int(q), int(m)) for queries, members in pairs for q, m in zip(queries, members)}
+        halves = [known[::2], known[1::2] or known]
+        bounds = tries.Summaries(*zip(*map(tries.summary, halves)))
+        for q, text in enumerate(texts):
+            all_scores = [plain_score(text, k) for k in known]
+            want = max(*all_scores, int(least[q]))
+            assert best[q] == want
+            assert {m for at, m in found if at == q} == {m for m, s in enumerate(all_scores) if s == want >= threshold}
+            assert all(b >= max(plain_score(text, k) for k in half) for b, half in zip(bounds.bounds(text), halves))
+
+
+@pytest.mark.parametrize("chars, texts", [(1, 1), (40, 5), (1 << 19, 1 << 13)])
+def test_shards_do_not_change_the_result(spark, monkeypatch, chars, texts):
+    """Random ids and names, best scores on both sides of the threshold, ties between shards."""
     draw = random.Random(9)
-    known, unknown = sorted(set(words(draw, 50, 4, 6))), sorted(set(words(draw, 30, 4, 8, "abcxyz")))
-    whole = rows(matching.best_matches(frame(spark, unknown), frame(spark, known)))
-    monkeypatch.setattr(matching, "BLOCK", 7)
-    assert rows(matching.best_matches(frame(spark, unknown), frame(spark, known))) == whole
+    known = sorted(set(words(draw, 50, 4, 6)) | {f"prd{i:05d}" for i in range(40)} | {" ".join(words(draw, 4, 2, 5)) for _ in range(20)})
+    unknown = sorted(set(words(draw, 30, 4, 8, "abcxyz")) | {f"item {i}" for i in range(0, 40, 7)} | {k + " x" for k in known[:9]} | {k[1:] for k in known[:30]})
+    monkeypatch.setattr(nearest, "SHARD_CHARS", chars)
+    monkeypatch.setattr(nearest, "TEXTS", texts)
+    found = {r.id: (r.match, r.score) for r in matching.best_matches(frame(spark, unknown), frame(spark, known), 70).collect()}
+    for text in unknown:
+        best = plain_best(text, known)
+        assert found[text] == (best if plain_score(text, best) >= 70 else None, plain_score(text, best)), text
+    assert any(m for m, _ in found.values()) and any(m is None for m, _ in found.values())
+
+
+def test_few_nodes_are_visited(spark):
+    """Ten times the known ids cost far less than ten times the nodes."""
+    visited = {}
+    for count in (2_000, 20_000):
+        known = write_once(spark.range(count).select(F.format_string("prd%08d", "id").alias("text")).withColumns({"rank": F.col("text"), "choice": F.col("text")}), "known")
+        asked = write_once(spark.range(0, 2_000, 20).select(F.concat(F.lit("item "), F.col("id")).alias("text")), "asked")
+        found = nearest.nearest(asked, known, 85).agg(F.sum("nodes"), F.countDistinct("text")).first()
+        assert found[1] == 100
+        visited[count] = found[0] / 100
+    assert visited[2_000] < 200 and visited[20_000] < 2 * visited[2_000]
 
 
 def test_ties_follow_the_given_order(spark):
