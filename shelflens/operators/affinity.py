@@ -269,6 +269,12 @@ def pair_totals(items: DataFrame, distinct: bool = False) -> DataFrame:
     )
 
 
+def basket_counters(distinct: bool = False) -> list[Column]:
+    """Counters over ``baskets``: those of fewer than two lines have no pairs."""
+    size = F.size("items").cast("long") if distinct else F.col("basket_size")
+    return [F.sum(F.floor(size * (size - 1) / 2)).alias("total_product_pairs")]
+
+
 def affinity_metrics(
     items: DataFrame, header: DataFrame, products: DataFrame, config: AffinityConfig = CONFIG
 ) -> DataFrame:

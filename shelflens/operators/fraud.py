@@ -359,8 +359,8 @@ def clean_refunds(scored: DataFrame) -> DataFrame:
     return keep_existing(scored.filter(F.col("fraud_severity") == "CLEAN"), CLEAN_COLUMNS)
 
 
-def fraud_metrics(scored: DataFrame) -> DataFrame:
-    """One row of run counters."""
+def fraud_counters() -> list[Column]:
+    """Run counters but for that of the suspicious customers."""
 
     def code(name: str) -> Column:
         return F.count_if(has_code(name)).alias(f"invalid_{name.lower()}")
@@ -368,14 +368,18 @@ def fraud_metrics(scored: DataFrame) -> DataFrame:
     def flag(name: str) -> Column:
         return F.count_if(has_code(name, "fraud_flags")).alias(f"flag_{name.lower()}")
 
-    risky = F.when(F.col("fraud_score") > 0, F.col("customer_id"))
-    return scored.agg(
+    return [
         F.count("*").alias("total_refunds"),
         F.count_if(is_valid()).alias("valid_refunds"),
         F.count_if(is_invalid()).alias("invalid_refunds"),
         *[code(c) for c in ("AMOUNT_EXCEEDED", "CUSTOMER_MISMATCH", "OUTSIDE_WINDOW", "PAYMENT_MISMATCH")],
         *[flag(c) for c in POINTS],
         F.count_if(F.col("fraud_score") > 0).alias("total_fraud_flags"),
-        F.count_distinct(risky).alias("suspicious_customers"),
         F.count_if(F.col("fraud_severity") == "CLEAN").alias("clean_refunds"),
-    )
+    ]
+
+
+def fraud_metrics(scored: DataFrame) -> DataFrame:
+    """One row of run counters."""
+    risky = F.when(F.col("fraud_score") > 0, F.col("customer_id"))
+    return scored.agg(*fraud_counters(), F.count_distinct(risky).alias("suspicious_customers"))

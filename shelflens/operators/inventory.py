@@ -143,43 +143,61 @@ def count_codes(*names: str) -> list[Column]:
     return [F.count_if(has_code(name)).alias(name.lower()) for name in names]
 
 
-def snapshot_metrics(
-    snapshot: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG, kept: DataFrame | None = None
-) -> DataFrame:
-    """One row of counters: codes over all rows, valid and invalid after deduplication.
-
-    ``kept``: the deduplicated, tagged rows, if already written; only the codes of
-    all rows are then made anew, without a second deduplication.
-    """
-    fields = [f"MISSING_{f.upper()}" for f in config.snapshot_fields if f in snapshot.columns]
-    tagged = tag_snapshot(snapshot, products, config)
-    if kept is None:
-        kept = tag_snapshot(latest_snapshot(snapshot, config), products, config)
-    kept = kept.agg(
-        F.count_if(is_valid()).alias("valid"), F.count_if(is_invalid()).alias("invalid")
-    )
-    kept = kept.select(F.struct("valid", "invalid")).scalar()
-    return tagged.agg(
+def snapshot_counters(columns: list[str], config: InventoryConfig = CONFIG) -> list[Column]:
+    """Counters over all tagged rows, duplicates included."""
+    fields = [f"MISSING_{f.upper()}" for f in config.snapshot_fields if f in columns]
+    return [
         F.count("*").alias("total"),
         *count_codes(*fields, "NEGATIVE_STOCK", "MISMATCHED_PRODUCT_ID", "CAPACITY_EXCEEDED"),
-    ).select(
+    ]
+
+
+def split_counters() -> list[Column]:
+    return [F.count_if(is_valid()).alias("valid"), F.count_if(is_invalid()).alias("invalid")]
+
+
+def restock_counters(columns: list[str], config: InventoryConfig = CONFIG) -> list[Column]:
+    fields = [f"MISSING_{f.upper()}" for f in config.restock_fields if f in columns]
+    return [
+        F.count("*").alias("total"),
+        *split_counters(),
+        *count_codes(*fields, "INVALID_QUANTITY", "EXCEEDED_RESTOCK_MAX", "MISMATCHED_PRODUCT_ID"),
+    ]
+
+
+def fact_counters() -> list[Column]:
+    return [
+        F.count("*").alias("records"),
+        F.avg("effective_stock_level").alias("mean_effective_stock"),
+        F.sum("stock_movement").alias("total_stock_movement"),
+    ]
+
+
+def quarantine_counters(fuzzy: bool) -> list[Column]:
+    matched = F.col("suggested_product_id").isNotNull() if fuzzy else None
+    found = [F.count("*").alias("records")]
+    if fuzzy:
+        found += [
+            F.count_if(matched).alias("fuzzy_matches_found"),
+            F.count_if(F.col("fuzzy_match_score").isNotNull() & ~matched).alias("unmatched_products"),
+        ]
+    return found
+
+
+def snapshot_metrics(snapshot: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG) -> DataFrame:
+    """One row of counters: codes over all rows, valid and invalid after deduplication."""
+    kept = tag_snapshot(latest_snapshot(snapshot, config), products, config).agg(*split_counters())
+    kept = kept.select(F.struct("valid", "invalid")).scalar()
+    tagged = tag_snapshot(snapshot, products, config)
+    return tagged.agg(*snapshot_counters(snapshot.columns, config)).select(
         "*",
         F.inline(F.array(kept)),
     ).withColumn("duplicates", F.col("total") - F.col("valid") - F.col("invalid"))
 
 
-def restock_metrics(
-    restock: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG, tagged: DataFrame | None = None
-) -> DataFrame:
-    """One row of counters over the tagged rows, which may be passed in if already written."""
-    fields = [f"MISSING_{f.upper()}" for f in config.restock_fields if f in restock.columns]
-    tagged = tag_restock(restock, products, config) if tagged is None else tagged
-    return tagged.agg(
-        F.count("*").alias("total"),
-        F.count_if(is_valid()).alias("valid"),
-        F.count_if(is_invalid()).alias("invalid"),
-        *count_codes(*fields, "INVALID_QUANTITY", "EXCEEDED_RESTOCK_MAX", "MISMATCHED_PRODUCT_ID"),
-    )
+def restock_metrics(restock: DataFrame, products: DataFrame, config: InventoryConfig = CONFIG) -> DataFrame:
+    """One row of counters over the tagged rows."""
+    return tag_restock(restock, products, config).agg(*restock_counters(restock.columns, config))
 
 
 def restock_by_key(restock: DataFrame) -> DataFrame:

@@ -109,26 +109,31 @@ def quarantine_units(invalid: DataFrame, stamped: bool = True) -> DataFrame:
     return df.withColumn("quarantine_date", F.current_timestamp()) if stamped else df
 
 
-def units_metrics(
-    df: DataFrame, config: LegacyConfig = CONFIG, tagged: DataFrame | None = None, fact: DataFrame | None = None
-) -> DataFrame:
-    """One row of run counters; ``tagged`` rows and the ``fact`` table are passed in where they are written."""
-    tagged = tag_units(df, config) if tagged is None else tagged
-    if fact is None:
-        fact = reconcile_units(latest_units(tagged.filter(is_valid()), config), config)
-    final = fact.agg(
-        F.count("*").alias("curated"),
-        F.count_if("negative_stock_flag").alias("negative_stock_flags"),
-        F.count_if("capacity_exceeded_flag").alias("capacity_exceeded_flags"),
-    )
-    final = final.select(F.struct("*")).scalar()
-    counts = tagged.agg(
+def units_counters() -> list[Column]:
+    """Counters over all tagged rows."""
+    return [
         F.count("*").alias("total_records"),
         F.count_if(is_valid()).alias("valid_records"),
         F.count_if(is_invalid()).alias("invalid_records"),
-    )
+    ]
+
+
+def units_fact_counters() -> list[Column]:
+    return [
+        F.count("*").alias("curated"),
+        F.count_if("negative_stock_flag").alias("negative_stock_flags"),
+        F.count_if("capacity_exceeded_flag").alias("capacity_exceeded_flags"),
+    ]
+
+
+def units_metrics(df: DataFrame, config: LegacyConfig = CONFIG) -> DataFrame:
+    """One row of run counters."""
+    tagged = tag_units(df, config)
+    fact = reconcile_units(latest_units(tagged.filter(is_valid()), config), config)
+    final = fact.agg(*units_fact_counters()).select(F.struct("*")).scalar()
     return (
-        counts.select("*", F.inline(F.array(final)))
+        tagged.agg(*units_counters())
+        .select("*", F.inline(F.array(final)))
         .withColumn("duplicates_removed", F.col("valid_records") - F.col("curated"))
         .drop("curated")
     )

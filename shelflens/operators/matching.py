@@ -98,7 +98,11 @@ def apply_suggestions(quarantined: DataFrame) -> DataFrame:
     )
 
 
+def sku_shape(column: str = "sku", pattern: str = SKU_PATTERN) -> Column:
+    """Whether the column begins with the pattern, null counts as false."""
+    return F.coalesce(F.col(column).cast("string").rlike(f"^(?:{pattern})"), F.lit(False))
+
+
 def check_sku(df: DataFrame, column: str = "sku", pattern: str = SKU_PATTERN) -> DataFrame:
     """Add ``sku_valid``: the column begins with the pattern, null counts as false."""
-    return df.withColumn("sku_valid", F.coalesce(F.col(column).cast("string").rlike(f"^(?:{pattern})"), F.lit(False)))
-
+    return df.withColumn("sku_valid", sku_shape(column, pattern))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,8 +48,9 @@ def write_curated(df: DataFrame, base: str, name: str, also_csv: bool = True) ->
 def write_quarantine(df: DataFrame, base: str, name: str, also_csv: bool = True) -> DataFrame | None:
     """Quarantined rows of one dataset, codes as text; nothing is written if there are none."""
     path = f"{base}/quarantine/quarantine_{name}/quarantine_{name}"
-    written = write_table(render_all(df, "validation_errors"), f"{path}.parquet")
-    if written.isEmpty():  # what an earlier run has left is no longer true either
+    seen = Observation()
+    written = write_table(render_all(df, "validation_errors").observe(seen, F.count("*").alias("rows")), f"{path}.parquet")
+    if not seen.get["rows"]:  # what an earlier run has left is no longer true either
         for kind in ("parquet", "csv"):
             delete_path(df.sparkSession, f"{path}.{kind}")
         return None
