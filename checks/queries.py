@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import roles
 from checks.role_sql import ANOMALIES, DETECTORS, error_type, flags, points, with_roles
-from shelflens.config import AffinityConfig, Dataset, FraudConfig, InventoryConfig, LegacyConfig
+from shelflens.config import DATASETS, AffinityConfig, Dataset, FraudConfig, InventoryConfig, LegacyConfig
 from shelflens.functions.quantiles import exact_quantiles
 from shelflens.functions.rules import has_code, render_all
 from shelflens.operators import affinity as aff
@@ -22,8 +23,9 @@ from shelflens.operators import inventory as inv
 from shelflens.operators import legacy as leg
 from shelflens.operators import matching
 from shelflens.operators.metrics import all_metrics, thresholds
-from shelflens.plans.runs import AFFINITY_THRESHOLDS, FRAUD_THRESHOLDS
-from shelflens.sources import sinks
+from shelflens.plans import runs
+from shelflens.plans.runs import AFFINITY_THRESHOLDS, FRAUD_THRESHOLDS, INVENTORY_THRESHOLDS
+from shelflens.sources import readers, sinks
 from shelflens.sources.readers import load_dataset, load_layer
 from shelflens.sources.shared import shared_folder, write_once
 
@@ -539,14 +541,14 @@ def top_affinities_distinct(spark, sf):
     return aff.top_affinities(_affinity(spark, sf, DISTINCT))
 
 
-@query(
-    "basket_stats",
-    """SELECT (SELECT count(*) FROM header) AS total_transactions, (SELECT count(*) FROM lines) AS total_line_items,
+BASKET_STATS = """SELECT (SELECT count(*) FROM header) AS total_transactions, (SELECT count(*) FROM lines) AS total_line_items,
       (SELECT count(*) FROM brands) AS total_products,
       (SELECT count(DISTINCT product_id) FROM lines) AS unique_products_in_sales, count(*) AS baskets,
       count(*) FILTER (size >= 2) AS baskets_with_pairs, round(avg(size), 6) AS mean_basket_size
-    FROM (SELECT count(*) AS size FROM lines GROUP BY transaction_id)""",
-)
+    FROM (SELECT count(*) AS size FROM lines GROUP BY transaction_id)"""
+
+
+@query("basket_stats", BASKET_STATS)
 def basket_stats(spark, sf):
     stats = aff.basket_stats(roles.lines(spark, sf), roles.header(spark, sf), roles.brands(spark, sf))
     return _rounded(stats, 6, "mean_basket_size")
@@ -955,3 +957,128 @@ def stamped_fact(spark, sf):
     """The wall clock columns are set, whatever they hold."""
     fact = inv.inventory_fact(_reconciled(spark, sf), roles.products(spark, sf), roles.stores(spark, sf))
     return fact.select("snapshot_id", (F.col("reconciled_at").isNotNull() & F.col("created_at").isNotNull()).alias("stamped"))
+
+
+@query(
+    "source_json_declared",
+    """SELECT transaction_id, CAST(NULL AS VARCHAR) AS store_id, customer_id, CAST(sale_date AS VARCHAR) AS sale_date, total_amount,
+      payment_mode FROM header""",
+)
+def source_json_declared(spark, sf):
+    """Sales as JSON lines by the columns that the dataset declares, in one pass; a column that no line has is null."""
+    base = _folder(spark, "source_json")
+    roles.header(spark, sf).write.json(f"{base}/sales")
+    sales = replace(DATASETS["store_sales_header"], path="sales", file_type="json")
+    sales = replace(sales, types={**sales.types, "customer_id": "long", "transaction_id": "long"})
+    return load_dataset(spark, "sales", base, {"sales": sales})
+
+
+@query(
+    "missing_columns",
+    """SELECT 'customer_details' AS dataset, '' AS missing, (SELECT count(*) FROM customers) AS records
+    UNION ALL SELECT 'products', '', count(*) FROM products UNION ALL SELECT 'restock_events', '', count(*) FROM restocks
+    UNION ALL SELECT 'store_sales_header', 'store_id', count(*) FROM header""",
+)
+def missing_columns(spark, sf):
+    """Required columns that the roles of four datasets lack."""
+    frames = {"customer_details": roles.customers, "products": roles.products, "restock_events": roles.restocks, "store_sales_header": roles.header}
+    found = []
+    for name, role in frames.items():
+        df = role(spark, sf)
+        absent = ",".join(readers.missing_columns(df, DATASETS[name].required))
+        found.append(df.agg(F.lit(name).alias("dataset"), F.lit(absent).alias("missing"), F.count("*").alias("records")))
+    return reduce(DataFrame.unionAll, found)
+
+
+@query(
+    "curated_csv",
+    "SELECT product_id, product_name, sku, category, CAST(unit_price AS VARCHAR) AS unit_price FROM products",
+)
+def curated_csv(spark, sf):
+    """The csv copy of a curated table, read as text."""
+    base = _folder(spark, "curated_csv")
+    table = roles.products(spark, sf).select("product_id", "product_name", "sku", "category", F.col("unit_price").cast("string").alias("unit_price"))
+    sinks.write_curated(table, base, "products")
+    return spark.read.options(header=True, escape='"').csv(f"{base}/curated/products/products.csv")
+
+
+# --- whole runs: the layers they write, and their reports ---------------------
+
+
+def _report(spark: SparkSession, out: str, name: str) -> DataFrame:
+    rows = spark.read.schema("metric string, value double").json(f"{out}/reports/{name}")
+    return rows.withColumn("value", F.round("value", 4))
+
+
+RESTOCK_MATCHES = "SELECT product_id, match, score FROM all_restocks LEFT JOIN matches ON product_id = id WHERE validation_status = 'INVALID'"
+ODD = f"NOT coalesce(regexp_matches(product_id, {SKU_SHAPE}), false)"
+
+INVENTORY_RUN = f"""SELECT metric, round(value, 4) AS value FROM ({_unpivoted("snapshot", SNAPSHOT_COUNTERS)}
+  UNION ALL {_unpivoted("restock", RESTOCK_COUNTERS)}
+  UNION ALL {_unpivoted("curated", "SELECT count(*) AS records, avg(effective_stock_level) AS mean_effective_stock, sum(stock_movement) AS total_stock_movement FROM fact")}
+  UNION ALL {_unpivoted("quarantine", f"""SELECT count(*) AS records, count(match) AS fuzzy_matches_found,
+    count(*) FILTER (score IS NOT NULL AND match IS NULL) AS unmatched_products
+    FROM (SELECT product_id, suggested_product_id AS match, fuzzy_match_score AS score FROM ({SUGGESTED}) UNION ALL {RESTOCK_MATCHES})""")}
+  UNION ALL {_unpivoted("sku.products_sku", f"SELECT count(*) FILTER (NOT coalesce(regexp_matches(sku, {SKU_SHAPE}), false)) AS non_standard FROM products")}
+  UNION ALL {_unpivoted("sku.snapshot_product_id", f"SELECT count(*) FILTER ({ODD}) AS non_standard FROM kept_snapshots WHERE validation_status = 'VALID'")}
+  UNION ALL {_unpivoted("sku.restock_product_id", f"SELECT count(*) FILTER ({ODD}) AS non_standard FROM all_restocks WHERE validation_status = 'VALID'")}
+  UNION ALL {_threshold_sql(InventoryConfig(), INVENTORY_THRESHOLDS)})"""
+
+
+@query("inventory_run_report", INVENTORY_RUN)
+def inventory_run_report(spark, sf):
+    """The report of a whole run: every group, counted while the layers are written."""
+    inputs = {
+        "inventory_snapshot": roles.snapshots(spark, sf),
+        "restock_events": roles.restocks(spark, sf),
+        "products": roles.products(spark, sf),
+        "stores": roles.stores(spark, sf),
+    }
+    out = _folder(spark, "inventory_run")
+    runs.run_inventory(inputs, out, InventoryConfig(also_save_csv=False))
+    return _report(spark, out, "inventory")
+
+
+def _affinity_run(spark, sf) -> str:
+    lines = {"store_sales_header": roles.header, "store_sales_line_items": roles.lines, "products": roles.brands}
+    out = _folder(spark, "affinity_run")
+    runs.run_affinity({name: role(spark, sf) for name, role in lines.items()}, out, AffinityConfig(also_save_csv=False))
+    return out
+
+
+AFFINITY_RUN = f"""{_unpivoted("pairs", "SELECT CAST(sum(pair_rows) AS BIGINT) AS total_product_pairs FROM pairs_list")}
+  UNION ALL {_unpivoted("scores", "SELECT count(*) AS pairs_above_thresholds FROM affinity_list")}
+  UNION ALL {_unpivoted("top", "SELECT least(count(*), 10) AS returned FROM affinity_list")}
+  UNION ALL {_unpivoted("baskets", BASKET_STATS)}
+  UNION ALL {_threshold_sql(AffinityConfig(), AFFINITY_THRESHOLDS)}"""
+
+
+@query("affinity_run_report", f"SELECT metric, round(value, 4) AS value FROM ({AFFINITY_RUN})")
+def affinity_run_report(spark, sf):
+    return _report(spark, _affinity_run(spark, sf), "affinity")
+
+
+@query("staged_baskets", "SELECT transaction_id, count(*) AS basket_size FROM lines GROUP BY 1 HAVING count(*) >= 2")
+def staged_baskets(spark, sf):
+    """Baskets in the staging layer of a run."""
+    return load_layer(spark, f"{_affinity_run(spark, sf)}/staging/transaction_baskets").select("transaction_id", "basket_size")
+
+
+def _fraud_run(spark, sf) -> str:
+    inputs = {
+        "refund_transactions": roles.refunds(spark, sf),
+        "store_sales_header": roles.header(spark, sf),
+        "customer_details": roles.customers(spark, sf),
+        "products": roles.brands(spark, sf),
+    }
+    out = _folder(spark, "fraud_run")
+    runs.run_fraud(inputs, out, replace(FRAUD, also_save_csv=False))
+    return out
+
+
+@query(
+    "fraud_run_report",
+    f"SELECT metric, round(value, 4) AS value FROM ({_unpivoted('fraud', FRAUD_METRICS)} UNION ALL {_threshold_sql(FRAUD, FRAUD_THRESHOLDS)})",
+)
+def fraud_run_report(spark, sf):
+    return _report(spark, _fraud_run(spark, sf), "fraud")

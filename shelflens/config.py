@@ -28,6 +28,16 @@ class Dataset:
 DATASETS: dict[str, Dataset] = {
     "inventory_snapshot": Dataset(
         path="raw/inventory_snapshot.csv",
+        columns=(
+            "snapshot_id",
+            "store_id",
+            "product_id",
+            "snapshot_date",
+            "snapshot_level",
+            "max_capacity",
+            "damaged_quantity",
+            "expired_quantity",
+        ),
         required=("snapshot_id", "store_id", "product_id", "snapshot_date", "snapshot_level"),
         types={
             "max_capacity": "double",
@@ -37,26 +47,61 @@ DATASETS: dict[str, Dataset] = {
     ),
     "restock_events": Dataset(
         path="raw/restock_events.csv",
+        columns=(
+            "restock_id",
+            "store_id",
+            "product_id",
+            "restock_date",
+            "incoming_quantity",
+            "restock_type",
+            "supplier_id",
+        ),
         required=("restock_id", "store_id", "product_id", "restock_date", "incoming_quantity"),
     ),
     "products": Dataset(
         path="raw/products.csv",
+        columns=(
+            "product_id",
+            "product_name",
+            "sku",
+            "category",
+            "unit_price",
+            "max_restock_quantity",
+            "status",
+        ),
         required=("product_id", "product_name", "sku"),
         types={"unit_price": "double", "max_restock_quantity": "double"},
     ),
-    "stores": Dataset(path="raw/stores.csv", required=("store_id", "store_name")),
+    "stores": Dataset(
+        path="raw/stores.csv",
+        columns=("store_id", "store_name", "location", "city", "region", "store_type", "capacity_tier"),
+        required=("store_id", "store_name"),
+    ),
     "store_sales_header": Dataset(
         path="raw/store_sales_header.csv",
+        columns=("transaction_id", "store_id", "customer_id", "sale_date", "total_amount", "payment_mode"),
         required=("transaction_id", "store_id", "customer_id", "sale_date", "total_amount"),
         types={"sale_date": "date", "total_amount": "double"},
     ),
     "store_sales_line_items": Dataset(
         path="raw/store_sales_line_items.csv",
+        columns=("line_item_id", "transaction_id", "product_id", "quantity", "unit_price", "line_total"),
         required=("line_item_id", "transaction_id", "product_id", "quantity", "unit_price"),
         types={"quantity": "long", "unit_price": "double", "line_total": "double"},
     ),
     "customer_details": Dataset(
         path="raw/customer_details.csv",
+        columns=(
+            "customer_id",
+            "customer_name",
+            "email",
+            "phone",
+            "registration_date",
+            "customer_tier",
+            "total_purchases",
+            "total_refunds",
+            "account_status",
+        ),
         required=("customer_id", "customer_name"),
         types={
             "registration_date": "date",
@@ -66,6 +111,20 @@ DATASETS: dict[str, Dataset] = {
     ),
     "refund_transactions": Dataset(
         path="raw/refund_transactions.csv",
+        columns=(
+            "refund_id",
+            "original_transaction_id",
+            "customer_id",
+            "refund_date",
+            "refund_amount",
+            "original_amount",
+            "product_id",
+            "refund_reason",
+            "payment_mode",
+            "original_payment_mode",
+            "store_id",
+            "processed_by",
+        ),
         required=(
             "refund_id",
             "original_transaction_id",
@@ -78,6 +137,7 @@ DATASETS: dict[str, Dataset] = {
     ),
     "customer_transactions_history": Dataset(
         path="raw/customer_transactions_history.csv",
+        columns=("customer_id", "transaction_id", "date", "amount"),
         required=("customer_id", "transaction_id", "date", "amount"),
         types={"date": "date", "amount": "double"},
     ),
