@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from checks import roles
 from checks.role_sql import ANOMALIES, DETECTORS, error_type, flags, points, with_roles
 from shelflens.config import DATASETS, AffinityConfig, Dataset, FraudConfig, InventoryConfig, LegacyConfig
+from shelflens.functions import sketches
 from shelflens.functions.quantiles import exact_quantiles
 from shelflens.functions.rules import has_code, render_all
 from shelflens.operators import affinity as aff
@@ -508,6 +509,15 @@ def product_counts(spark, sf):
     return aff.product_counts(_items(spark, sf))
 
 
+@query("product_counts_sketched", "SELECT product_id, product_count, true AS within FROM product_count")
+def product_counts_sketched(spark, sf):
+    """Transactions per product from sketches by product and day: exact counts, and whether four deviations hold."""
+    days = write_once(aff.daily_baskets(roles.lines(spark, sf), roles.header(spark, sf), 0.01), "daily_baskets")
+    near = aff.approximate_product_counts(days).withColumnRenamed("product_count", "estimate")
+    off = F.abs(F.col("estimate") - F.col("product_count")) / F.col("product_count")
+    return product_counts(spark, sf).join(near, "product_id").select("product_id", "product_count", (off <= 0.04).alias("within"))
+
+
 def _affinity(spark, sf, config: AffinityConfig = AffinityConfig()) -> DataFrame:
     items = write_once(_items(spark, sf), "basket_items")
     return aff.affinity(items, roles.header(spark, sf), roles.brands(spark, sf), config)
@@ -684,6 +694,47 @@ def refund_amount_stats(spark, sf):
     return _rounded(frd.amount_stats(refunds), 4, "mean_amount", "std_amount", "q1", "q3")
 
 
+SHARES = [0.05, 0.25, 0.5, 0.75, 0.95, 0.999]
+
+
+@query(
+    "refund_amount_sketches",
+    "SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95, 0.999]) AS share, (SELECT amounts FROM stats) AS amounts, true AS within",
+)
+def refund_amount_sketches(spark, sf):
+    """Quantiles of sketches made by day and merged: whether their exact ranks are off by the stated error at most."""
+    error = 0.001
+    refunds = write_once(roles.refunds(spark, sf).select("refund_date", "refund_amount"), "refund_amounts")
+    days = write_once(frd.daily_amounts(refunds, error), "daily_amounts")
+    whole = days.agg(sketches.merged_quantile_sketch("sketch", error).alias("sketch"))
+    found = whole.select(F.array(*sketches.quantiles(F.col("sketch"), SHARES))).first()[0]
+    amount, n = F.col("refund_amount"), F.count("refund_amount")
+    below = lambda p, q: (F.count_if(amount < q) <= (p + error) * n) & (F.count_if(amount <= q) >= (p - error) * n)
+    rows = F.array(*[F.struct(F.lit(p).alias("share"), n.alias("amounts"), below(p, q).alias("within")) for p, q in zip(SHARES, found)])
+    return refunds.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
+@query(
+    "refund_amount_stats_by_month",
+    """SELECT strftime(refund_date, '%Y-%m') AS month, count(refund_amount) AS amounts, round(avg(refund_amount) + 1e-6, 4) AS mean_amount,
+      round(stddev_samp(refund_amount) + 1e-6, 4) AS std_amount, true AS quartiles_within FROM refunds GROUP BY 1""",
+)
+def refund_amount_stats_by_month(spark, sf):
+    """Daily statistics merged into months; the quartiles against the refunds of the month."""
+    error = 0.001
+    refunds = write_once(roles.refunds(spark, sf).select("refund_date", "refund_amount"), "refund_amounts")
+    month = lambda day: F.date_format(day, "yyyy-MM").alias("month")
+    days = write_once(frd.daily_amounts(refunds, error), "daily_amounts")
+    months = write_once(frd.amount_stats_of(days, month("refund_day"), error=error), "months")
+    amount, n = F.col("refund_amount"), F.count("refund_amount")
+    off = lambda p, q: (F.count_if(amount < q) > (p + error) * n) | (F.count_if(amount <= q) < (p - error) * n)
+    checked = refunds.select(month("refund_date"), "refund_amount").join(months, "month").groupBy("month")
+    checked = checked.agg((~(off(0.25, F.col("q1")) | off(0.75, F.col("q3")))).alias("quartiles_within"))
+    found = months.join(checked, "month").select("month", "amounts", "mean_amount", "std_amount", "quartiles_within")
+    # Off the ties of rounding, where sums in another order would fall to either side.
+    return _rounded(found.withColumns({c: F.col(c) + 1e-6 for c in ("mean_amount", "std_amount")}), 4, "mean_amount", "std_amount")
+
+
 @query(
     "price_quantiles",
     "SELECT "

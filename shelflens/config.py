@@ -203,6 +203,8 @@ class FraudConfig:
     zscore_threshold: float = 2.0
     iqr_enabled: bool = True
     iqr_multiplier: float = 1.5
+    # Quartiles are exact, or by a sketch in one pass if their rank may be off by this share.
+    quartile_rank_error: float | None = None
     refund_ratio_enabled: bool = True
     max_customer_refund_ratio: float = 0.30
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelflens.config import AffinityConfig
+from shelflens.functions.sketches import distinct_counts, distinct_sketches
 from shelflens.sources.shared import write_once
 
 CONFIG = AffinityConfig()
@@ -109,6 +110,21 @@ def product_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("product_id").agg(F.count("*").alias("product_count"))
 
 
+def daily_baskets(lines: DataFrame, header: DataFrame, deviation: float = 0.01) -> DataFrame:
+    """Per product and sale day a ``sketch`` of the transactions that hold the product.
+
+    Lines are counted per product, day and task before anything is shuffled; a sketch
+    has a bounded size, however many transactions there are. New days are added.
+    """
+    dated = lines.dropna(subset=["product_id"]).join(header.select("transaction_id", "sale_date"), "transaction_id")
+    return distinct_sketches(dated, "transaction_id", "product_id", F.to_date("sale_date").alias("sale_day"), deviation=deviation)
+
+
+def approximate_product_counts(days: DataFrame) -> DataFrame:
+    """As ``product_counts`` for the days given, off by the deviation of their sketches."""
+    return distinct_counts(days, "product_id", name="product_count")
+
+
 def pair_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("product_a", "product_b").agg(F.sum("pair_rows").alias("pair_count"))
 

@@ -16,6 +16,7 @@ from shelflens.config import FraudConfig
 from shelflens.functions.numbers import differs, holds, ratio, right_closed_bins
 from shelflens.functions.quantiles import exact_quantiles
 from shelflens.functions.rules import Rule, apply_rules, has_code, is_invalid, is_valid, present, render_all
+from shelflens.functions.sketches import approximate_quantiles, merged_quantile_sketch, quantile_sketch, quantiles
 from shelflens.operators.inventory import keep_existing
 from shelflens.sources.shared import write_once
 
@@ -235,9 +236,17 @@ def fraud_patterns(
     return _add_flags(df, detectors)
 
 
-def amount_stats(refunds: DataFrame) -> DataFrame:
-    """One row: mean, sample deviation, exact quartiles and count of the refund amount."""
-    quartiles = exact_quantiles(refunds, "refund_amount", [0.25, 0.75]).select(F.struct("q0", "q1")).scalar()
+def _quartiles(refunds: DataFrame, config: FraudConfig) -> DataFrame:
+    """One row ``q0, q1``: exact quartiles, or by a sketch if a rank error is allowed."""
+    shares = [0.25, 0.75]
+    if config.quartile_rank_error is None:
+        return exact_quantiles(refunds, "refund_amount", shares)
+    return approximate_quantiles(refunds, "refund_amount", shares, config.quartile_rank_error)
+
+
+def amount_stats(refunds: DataFrame, config: FraudConfig = CONFIG) -> DataFrame:
+    """One row: mean, sample deviation, quartiles and count of the refund amount."""
+    quartiles = _quartiles(refunds, config).select(F.struct("q0", "q1")).scalar()
     return refunds.agg(
         F.avg("refund_amount").alias("mean_amount"),
         F.stddev_samp("refund_amount").alias("std_amount"),
@@ -245,6 +254,40 @@ def amount_stats(refunds: DataFrame) -> DataFrame:
     ).select("*", F.inline(F.array(quartiles)).alias("q1", "q3"))
 
 
+def daily_amounts(refunds: DataFrame, error: float = 0.001) -> DataFrame:
+    """Per day of refunds what statistics of the amounts for any span of days are made from.
+
+    ``refund_day, amounts, mean, squares`` (sum of squared deviations from the day's
+    mean) and a quantile ``sketch``. New days are added to the table, and a day that
+    changed is replaced; no refund is read again.
+    """
+    amount = F.col("refund_amount")
+    return refunds.groupBy(F.to_date("refund_date").alias("refund_day")).agg(
+        F.count(amount).alias("amounts"),
+        F.avg(amount).alias("mean"),
+        (F.var_pop(amount) * F.count(amount)).alias("squares"),
+        quantile_sketch(amount, error).alias("sketch"),
+    )
+
+
+def amount_stats_of(days: DataFrame, *keys: Column, error: float = 0.001) -> DataFrame:
+    """As ``amount_stats`` for each key, from rows of ``daily_amounts`` made with the same error.
+
+    Count, mean and deviation are exact, quartiles have a rank that is off by ``error``
+    at most.
+    """
+    n, total = F.sum("amounts"), F.sum(F.col("amounts") * F.col("mean"))
+    between = F.sum(F.col("amounts") * F.col("mean") * F.col("mean")) - total * total / n
+    merged = days.groupBy(*keys).agg(
+        F.when(n > 0, total / n).alias("mean_amount"),
+        F.when(n > 1, F.sqrt(F.greatest(F.sum("squares") + between, F.lit(0.0)) / (n - 1))).alias("std_amount"),
+        F.coalesce(n, F.lit(0)).alias("amounts"),
+        merged_quantile_sketch("sketch", error).alias("_sketch"),
+    )
+    q1, q3 = quantiles(F.col("_sketch"), [0.25, 0.75])
+    return merged.withColumns({"q1": q1, "q3": q3}).drop("_sketch")
+
+
 def statistical_anomalies(
     scored: DataFrame, config: FraudConfig = CONFIG, refunds: DataFrame | None = None
 ) -> DataFrame:
@@ -265,7 +308,7 @@ def statistical_anomalies(
         df = df.withColumn("zscore_amount", F.when(holds(std > 0), (amount - mean) / std).otherwise(0.0))
         detectors["ZSCORE_ANOMALY"] = holds(F.abs("zscore_amount") > config.zscore_threshold)
     if config.iqr_enabled:
-        quartiles = exact_quantiles(base, "refund_amount", [0.25, 0.75]).select(F.struct("q0", "q1"))
+        quartiles = _quartiles(base, config).select(F.struct("q0", "q1"))
         df = df.withColumn("_quartiles", quartiles.scalar())
         q1, q3 = F.col("_quartiles.q0"), F.col("_quartiles.q1")
         reach = (q3 - q1) * config.iqr_multiplier
