@@ -29,6 +29,7 @@ from shelflens.plans.runs import AFFINITY_THRESHOLDS, FRAUD_THRESHOLDS, INVENTOR
 from shelflens.sources import readers, sinks
 from shelflens.sources.readers import load_dataset, load_layer
 from shelflens.sources.shared import shared_folder, write_once
+from shelflens.streaming.affinity import stream_pair_counts, write_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1133,3 +1134,48 @@ def _fraud_run(spark, sf) -> str:
 )
 def fraud_run_report(spark, sf):
     return _report(spark, _fraud_run(spark, sf), "fraud")
+
+
+# --- streams -----------------------------------------------------------------
+
+
+def _replayed(spark: SparkSession, rows: DataFrame, arrived: str, closing: DataFrame, name: str, stream) -> str:
+    """Run a stream over rows that arrive year by year, some of them twice; it is stopped and started again in between.
+
+    ``stream`` makes a writer from the streaming frame, an output and a checkpoint
+    folder; ``closing`` is what arrives last. Returns the output folder.
+    """
+    base = _folder(spark, name)
+    rows = write_once(rows, name)
+    years = [r[0] for r in rows.select(F.year(arrived).alias("y")).distinct().orderBy("y").collect()]
+    schema = rows.drop(arrived).schema
+    for year in [*years, None]:
+        part = closing if year is None else rows.filter(F.year(arrived) == year).drop(arrived)
+        if year is not None:
+            part = part.unionByName(part.filter(F.xxhash64(*part.columns) % 20 == 0))
+        part.select(*schema.fieldNames()).write.mode("append").parquet(f"{base}/in")
+        frame = spark.readStream.schema(schema).parquet(f"{base}/in")
+        running = stream(frame, f"{base}/out", f"{base}/checkpoint").trigger(availableNow=True).start()
+        running.awaitTermination()
+    return f"{base}/out"
+
+
+@query(
+    "streamed_pair_counts",
+    """WITH sold AS (SELECT CAST(time_bucket(INTERVAL '7 days', CAST(o_orderdate AS TIMESTAMP), TIMESTAMP '1970-01-01') AS DATE)::VARCHAR AS week,
+      l_orderkey, p_brand, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)
+    SELECT week, a.p_brand AS product_a, b.p_brand AS product_b,
+      CAST(sum(CASE WHEN a.p_brand = b.p_brand THEN a.n * (a.n - 1) // 2 ELSE a.n * b.n END) AS BIGINT) AS pair_count
+    FROM sold a JOIN sold b USING (week, l_orderkey) WHERE a.p_brand < b.p_brand OR (a.p_brand = b.p_brand AND a.n > 1) GROUP BY ALL""",
+)
+def streamed_pair_counts(spark, sf):
+    """Lines replayed in the order of arrival, some sent twice: pair counts per week as in the batch."""
+    lines = roles.sale_lines(spark, sf)
+    last = F.max("sold_at") + F.expr("INTERVAL 60 DAYS")
+    closing = lines.agg(*[(last if c == "sold_at" else F.lit(None).cast(t)).alias(c) for c, t in lines.drop("arrived").dtypes])
+
+    def stream(frame, out, checkpoint):
+        return write_batches(stream_pair_counts(frame, "7 days", "31 days"), out, checkpoint)
+
+    found = spark.read.parquet(_replayed(spark, lines, "arrived", closing, "sale_lines", stream))
+    return found.select(F.to_date("window.start").alias("week"), "product_a", "product_b", "pair_count")

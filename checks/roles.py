@@ -139,6 +139,24 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sale_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as a till sends them: with a number, the time of sale, and the day of arrival, up to 29 days later."""
+    part, orders = table(spark, sf, "part").select("p_partkey", "p_brand"), table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    late = (F.col("l_orderkey") % 30).cast("int")
+    return (
+        table(spark, sf, "lineitem")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("line_item_id"),
+            F.col("l_orderkey").alias("transaction_id"),
+            F.col("p_brand").alias("product_id"),
+            F.col("o_orderdate").cast("timestamp").alias("sold_at"),
+            F.date_add(F.to_date("o_orderdate"), late).alias("arrived"),
+        )
+    )
+
+
 def brands(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "part")
