@@ -214,6 +214,15 @@ def fraud_patterns(
             config.product_window_days,
             "product_refund_count",
         )
+    if config.high_value_frequent_enabled:
+        df = _join_recent(
+            df, base, ["customer_id"], config.high_value_frequent_days, "recent_count", "recent_amount"
+        )
+    return pattern_flags(df, config)
+
+
+def pattern_flags(df: DataFrame, config: FraudConfig = CONFIG) -> DataFrame:
+    """Flags and points of the behaviour and value rules, from counts that stand beside every refund."""
     detectors = {
         "HIGH_FREQUENCY": holds(F.col("refund_count") > config.max_refunds),
         "HIGH_VALUE": holds(F.col("refund_amount") > config.high_value_amount),
@@ -224,9 +233,6 @@ def fraud_patterns(
     if config.payment_mismatch_enabled:
         detectors["PAYMENT_MISMATCH"] = _payment_differs()
     if config.high_value_frequent_enabled:
-        df = _join_recent(
-            df, base, ["customer_id"], config.high_value_frequent_days, "recent_count", "recent_amount"
-        )
         detectors["HIGH_VALUE_FREQUENT"] = holds(
             (F.col("recent_count") >= config.high_value_frequent_refunds)
             & (F.col("recent_amount") >= config.high_value_frequent_amount)
