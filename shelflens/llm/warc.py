@@ -263,7 +263,8 @@ def write(
     notes = repeats.select(*key, F.lit(0).alias("kind"), text("first.uri").alias("uri"), text("first.id").alias("row_id"), F.lit(None).cast("binary").alias("payload"))
     records = rows.select(*key, F.lit(1).alias("kind"), "uri", text(f"{MARK}id").alias("row_id"), "payload")
     both = notes.distinct().unionByName(records).withColumn("shard", shard)
-    placed = both.repartition(max(1, len(starts)), "shard").sortWithinPartitions("shard", *key, "kind", "uri")
+    # One task per shard, where a hash would put several into one.
+    placed = both.repartitionById(max(1, len(starts)), "shard").sortWithinPartitions("shard", *key, "kind", "uri")
     # Rows are alike if all but the payload is; the digest stands for it.
     alike = F.xxhash64(*key)
     given = placed.select("shard", "kind", alike.alias("alike"), "uri", "row_id", f"{MARK}digest", "payload")
