@@ -30,6 +30,7 @@ from shelflens.sources import readers, sinks
 from shelflens.sources.readers import load_dataset, load_layer
 from shelflens.sources.shared import shared_folder, write_once
 from shelflens.streaming.affinity import stream_pair_counts, write_batches
+from shelflens.streaming.fraud import stream_fraud_patterns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -892,17 +893,17 @@ OPTIONAL_DETECTORS = [
 ]
 
 
-@query(
-    "fraud_patterns_windowed",
-    f"""SELECT refund_id, refund_amount, recent_count AS refund_count, recent_product AS product_refund_count,
+WINDOWED = f"""SELECT refund_id, refund_amount, recent_count AS refund_count, recent_product AS product_refund_count,
       {flags(OPTIONAL_DETECTORS)} AS fraud_flags, {points(OPTIONAL_DETECTORS)} AS fraud_score
     FROM (SELECT *,
       CASE WHEN customer_id IS NOT NULL THEN count(*) {_recent_sql("customer_id", 30)} END AS recent_count,
       CASE WHEN customer_id IS NOT NULL THEN sum(refund_amount) {_recent_sql("customer_id", 30)} END AS recent_amount,
       CASE WHEN customer_id IS NOT NULL AND product_id IS NOT NULL
            THEN count(*) {_recent_sql("customer_id, product_id", 60)} END AS recent_product
-      FROM validated)""",
-)
+      FROM validated)"""
+
+
+@query("fraud_patterns_windowed", WINDOWED)
 def fraud_patterns_windowed(spark, sf):
     enriched = write_once(_enriched(spark, sf), "enriched_refunds")
     return frd.fraud_patterns(frd.validate_refunds(enriched), OPTIONAL).select(
@@ -1179,3 +1180,23 @@ def streamed_pair_counts(spark, sf):
 
     found = spark.read.parquet(_replayed(spark, lines, "arrived", closing, "sale_lines", stream))
     return found.select(F.to_date("window.start").alias("week"), "product_a", "product_b", "pair_count")
+
+
+@query("streamed_fraud_patterns", WINDOWED)
+def streamed_fraud_patterns(spark, sf):
+    """Refunds replayed in the order of arrival, up to 29 days late, some sent twice: flags as in the batch."""
+    late = F.pmod(F.xxhash64("refund_id"), F.lit(30)).cast("int")
+    refunds = _enriched(spark, sf)
+    # Ids of the tables recur on different refunds, which a stream would take for one that is sent again.
+    refunds = refunds.withColumn("refund_id", F.concat_ws("|", "refund_id", F.xxhash64(*refunds.columns)))
+    refunds = refunds.withColumn("arrived", F.date_add("refund_date", late))
+    last = F.date_add(F.max("refund_date"), 100)
+    closing = refunds.agg(*[(last if c == "refund_date" else F.lit(None).cast(t)).alias(c) for c, t in refunds.drop("arrived").dtypes])
+
+    def stream(frame, out, checkpoint):
+        return write_batches(stream_fraud_patterns(frd.validate_refunds(frame), OPTIONAL, "31 days"), out, checkpoint)
+
+    found = spark.read.parquet(_replayed(spark, refunds, "arrived", closing, "refunds", stream))
+    found = found.filter("refund_id IS NOT NULL")  # all but the closing row
+    found = found.withColumn("refund_id", F.substring_index("refund_id", "|", 1))
+    return found.select("refund_id", "refund_amount", "refund_count", "product_refund_count", "fraud_flags", "fraud_score")
