@@ -593,6 +593,21 @@ def affinity_scores_edge(spark, sf):
     return found.select("product_a", "product_b", "pair_count")
 
 
+@query(
+    "pair_counts_hashed",
+    """WITH sold AS (SELECT l_orderkey AS t, l_partkey AS p, count(*) AS n FROM lineitem GROUP BY 1, 2)
+    SELECT a.p AS product_a, b.p AS product_b, CAST(sum(CASE WHEN a.p = b.p THEN a.n * (a.n - 1) // 2 ELSE a.n * b.n END) AS BIGINT) AS pair_count
+    FROM sold a JOIN sold b USING (t) WHERE a.p < b.p OR (a.p = b.p AND a.n > 1) GROUP BY ALL HAVING pair_count >= 2""",
+)
+def pair_counts_hashed(spark, sf):
+    """Pairs of single parts that occur twice or more, of which buckets rule out most before they are counted."""
+    lines = roles.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("transaction_id"), F.col("l_partkey").alias("product_id"))
+    items, header = write_once(aff.basket_items(lines), "basket_items"), roles.header(spark, sf)
+    twice = AffinityConfig(min_support=2 / max(1, header.count()))
+    frequent = write_once(aff.frequent_products(items, header, twice), "frequent_products")
+    return aff.pair_counts(aff.candidate_pairs(items, header, frequent, twice)).filter("pair_count >= 2")
+
+
 def _unpivoted(prefix: str, sql: str) -> str:
     return f"""SELECT '{prefix}.' || metric AS metric, value FROM (UNPIVOT (
       SELECT COLUMNS(*)::DOUBLE FROM ({sql})) ON COLUMNS(*) INTO NAME metric VALUE value)"""

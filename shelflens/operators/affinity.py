@@ -16,6 +16,9 @@ from shelflens.sources.shared import write_once
 
 CONFIG = AffinityConfig()
 
+# Hash values that pairs are counted by before they are counted themselves.
+BUCKETS = 1 << 20
+
 # Columns of the score table, in order.
 SCORE_COLUMNS = [
     "product_a",
@@ -168,6 +171,37 @@ def frequent_pairs(items: DataFrame, frequent: DataFrame, distinct: bool = False
     return _pair_up(items.join(frequent.select("product_id"), "product_id", "left_semi"), distinct)
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("product_a", "product_b"), F.lit(BUCKETS))
+
+
+def frequent_buckets(pairs: DataFrame, header: DataFrame, config: AffinityConfig = CONFIG) -> DataFrame:
+    """``bucket``: hash values of pairs whose pairs together reach the minimum support.
+
+    However many different pairs there are, a task passes on at most BUCKETS counts.
+    A pair that is frequent is in a frequent bucket, so none is lost. Written.
+    """
+    counts = pairs.groupBy(_bucket().alias("bucket")).agg(F.sum("pair_rows").alias("pair_rows"))
+    kept = counts.filter(F.col("pair_rows") / total_transactions(header) >= config.min_support)
+    return write_once(kept.select("bucket"), "frequent_buckets")
+
+
+def candidate_pairs(items: DataFrame, header: DataFrame, frequent: DataFrame, config: AffinityConfig = CONFIG) -> DataFrame:
+    """Pairs of the frequent products that may reach the minimum support: those in frequent buckets.
+
+    Baskets are paired twice, first to count buckets, then to count the pairs left; so
+    the many pairs that occur a few times are never shuffled or kept. Where all pairs
+    of the frequent products have a bucket of their own anyway, they are paired once.
+    """
+    pairs = frequent_pairs(items, frequent, config.distinct)
+    products = frequent.count()
+    if products * (products + 1) // 2 <= BUCKETS:
+        return pairs
+    # At most BUCKETS numbers.
+    kept = F.broadcast(frequent_buckets(pairs, header, config))
+    return pairs.withColumn("bucket", _bucket()).join(kept, "bucket", "left_semi").drop("bucket")
+
+
 def affinity(
     items: DataFrame,
     header: DataFrame,
@@ -180,8 +214,9 @@ def affinity(
 
     Only the direction a -> b of a pair a <= b is tested.
 
-    Baskets are paired after infrequent products are dropped (``frequent_products``).
-    Those are written, so Spark knows their size when it chooses how to join them;
+    Baskets are paired after infrequent products are dropped (``frequent_products``), and
+    of many pairs only those in frequent buckets are counted (``candidate_pairs``). The
+    frequent products are written, so Spark knows their size when it chooses how to join them;
     this starts a job. Items are read twice and best passed as a written table.
     ``frequent`` and ``pairs``: what ``frequent_products`` and ``frequent_pairs``
     gave, if already written.
@@ -190,7 +225,7 @@ def affinity(
     if frequent is None:
         frequent = write_once(frequent_products(items, header, config), "frequent_products")
     if pairs is None:
-        pairs = frequent_pairs(items, frequent, config.distinct)
+        pairs = candidate_pairs(items, header, frequent, config)
     # Names of the few remaining products only, however long the product master is.
     names = products.select("product_id", "product_name").join(frequent, "product_id", "left_semi")
 

@@ -2,14 +2,18 @@
 
 import random
 from collections import Counter
+from dataclasses import replace
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelflens.config import AffinityConfig
 from shelflens.operators import affinity as aff
 from tests.conftest import rows
 
+CONFIG = AffinityConfig()
+
 
 def brute_force(baskets, total, config):
     """Scores from lists of products, the plain way."""
@@ -109,3 +113,53 @@ def test_top_has_ranks_and_ties(spark):
 def test_null_keys_are_left_out(spark):
     lines = spark.createDataFrame([(1, "A"), (1, None), (None, "A"), (1, "B")], "transaction_id long, product_id string")
     assert rows(aff.basket_items(lines)) == [(1, "A", 1), (1, "B", 1)]
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """Two products that go together in a fifth of the baskets, among 3000 that go with others by chance."""
+    rare = F.concat(F.lit("r"), F.pmod(F.xxhash64("transaction_id", "k"), F.lit(3000)))
+    lines = spark.range(0, 2000, 1, 4).select(F.col("id").alias("transaction_id"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k"))
+    both = F.when((F.col("k") < 2) & (F.col("transaction_id") % 5 == 0), F.concat(F.lit("p"), F.col("k")))
+    items = aff.basket_items(lines.select("transaction_id", F.coalesce(both, rare).alias("product_id"))).checkpoint()
+    header = spark.range(2000).select(F.col("id").alias("transaction_id"))
+    names = items.select("product_id", F.col("product_id").alias("product_name")).distinct()
+    return items, header, names
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+@pytest.mark.parametrize("support", [0.0015, 0.01])
+def test_buckets_lose_no_pair(spark, many, monkeypatch, distinct, support):
+    items, header, names = many
+    config = replace(CONFIG, min_support=support, min_confidence=0.0, min_lift=0.0, distinct=distinct)
+    plain = rows(aff.affinity(items, header, names, config))
+    for buckets in (7, 1000):
+        monkeypatch.setattr(aff, "BUCKETS", buckets)
+        assert rows(aff.affinity(items, header, names, config)) == plain
+    assert any(r[:2] == ("p0", "p1") for r in plain)
+
+
+def test_fewer_pairs_are_counted(many, monkeypatch):
+    """Of the pairs of the frequent products, few are left to be shuffled and counted."""
+    items, header, _ = many
+    config = replace(CONFIG, min_support=0.0025)
+    frequent = aff.frequent_products(items, header, config).checkpoint()
+    every = aff.pair_counts(aff.frequent_pairs(items, frequent)).count()
+    monkeypatch.setattr(aff, "BUCKETS", 1 << 17)
+    left = aff.pair_counts(aff.candidate_pairs(items, header, frequent, config)).count()
+    wanted = aff.pair_counts(aff.frequent_pairs(items, frequent)).filter("pair_count >= 5").count()
+    assert every > 50_000 and wanted <= left < every / 10
+
+
+def test_a_basket_of_ten_thousand_products(spark, monkeypatch):
+    """Fifty million pairs of one basket become as many bucket counts as there are buckets."""
+    monkeypatch.setattr(aff, "BUCKETS", 1 << 12)
+    big = spark.range(10_000).select(F.lit(1).cast("long").alias("transaction_id"), F.concat(F.lit("p"), F.col("id")).alias("product_id"))
+    pair = spark.range(20_000).select((F.col("id") % 4000 + 2).alias("transaction_id"), F.when(F.col("id") < 4000, "p1").when(F.col("id") < 8000, "p2").alias("product_id"))
+    items = aff.basket_items(big.union(pair)).checkpoint()
+    header = spark.range(4001).select(F.col("id").alias("transaction_id"))
+    config = replace(CONFIG, min_support=1.5 / 4001, min_confidence=0.0, min_lift=0.0)
+    frequent = items.select("product_id").distinct().withColumn("product_count", F.lit(1).cast("long")).checkpoint()
+    pairs = aff.candidate_pairs(items, header, frequent, replace(config, min_support=13_500 / 4001))
+    found = aff.pair_counts(pairs).orderBy(F.col("pair_count").desc()).first()
+    assert (found.product_a, found.product_b, found.pair_count) == ("p1", "p2", 4001)
