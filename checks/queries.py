@@ -25,6 +25,7 @@ from shelflens.operators import legacy as leg
 from shelflens.operators import matching
 from shelflens.operators.metrics import all_metrics, thresholds
 from shelflens.plans import runs
+from shelflens.plans.increments import add_increment
 from shelflens.plans.runs import AFFINITY_THRESHOLDS, FRAUD_THRESHOLDS, INVENTORY_THRESHOLDS
 from shelflens.sources import readers, sinks
 from shelflens.sources.readers import load_dataset, load_layer
@@ -1107,6 +1108,17 @@ def inventory_run_report(spark, sf):
     return _report(spark, out, "inventory")
 
 
+@query("incremental_fact", "SELECT * FROM fact")
+def incremental_fact(spark, sf):
+    """The fact table from two increments of snapshots and restocks, the later versions not always in the later one."""
+    out = _folder(spark, "increments")
+    snapshots, restocks = roles.snapshots(spark, sf), roles.restocks(spark, sf)
+    for i in (1, 0):
+        parts = [df.filter(F.pmod(F.xxhash64(id), F.lit(2)) == i) for df, id in ((snapshots, "snapshot_id"), (restocks, "restock_id"))]
+        add_increment(*parts, roles.products(spark, sf), roles.stores(spark, sf), out, f"part{i}", stamped=False)
+    return load_layer(spark, f"{out}/fact").drop("day")
+
+
 def _affinity_run(spark, sf) -> str:
     lines = {"store_sales_header": roles.header, "store_sales_line_items": roles.lines, "products": roles.brands}
     out = _folder(spark, "affinity_run")
