@@ -1001,6 +1001,20 @@ def source_json(spark, sf):
     return loaded.select(*rows.columns)
 
 
+@query(
+    "source_csv_quoted",
+    """SELECT product_id, product_name || chr(10) || 'kind "' || category || '",' || chr(10) AS product_name, sku, category, unit_price,
+      max_restock_quantity, CAST(NULL AS VARCHAR) AS bad FROM products""",
+)
+def source_csv_quoted(spark, sf):
+    """Products as csv whose names hold line breaks, quotes and commas, cut at true ends of records."""
+    base = _folder(spark, "source_csv_quoted")
+    name = F.concat("product_name", F.lit("\n"), F.lit('kind "'), "category", F.lit('",\n'))
+    sinks.write_csv(roles.products(spark, sf).withColumn("product_name", name), f"{base}/products")
+    quoted = replace(DATASETS["products"], path="products", line_breaks=True, bad_records="bad")
+    return load_dataset(spark, "products", base, {"products": quoted})
+
+
 @query("source_parquet", "SELECT * FROM products")
 def source_parquet(spark, sf):
     """Products through the raw archive, loaded by name."""

@@ -18,8 +18,11 @@ class Dataset:
     # All columns of json files. They are read as text, by name, in one pass; without
     # them, names and types are inferred by reading the files once more.
     columns: tuple[str, ...] = ()
-    # Whether csv cells may hold quoted line breaks. A file is then read by one task.
+    # Whether csv cells may hold quoted line breaks. UTF-8 files are then cut at true ends of
+    # records; a file of another encoding is read by one task.
     line_breaks: bool = False
+    # With line_breaks: a column that holds the whole text of records with too few or too many cells.
+    bad_records: str | None = None
 
 
 # Dataset names, file locations, required columns, column types.

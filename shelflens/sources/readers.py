@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from shelflens.config import DATASETS, Dataset
 from shelflens.functions.numbers import lenient_double, lenient_long
+from shelflens.sources.quoted_csv import read_quoted
 
 log = logging.getLogger(__name__)
 
@@ -52,8 +53,13 @@ def _read(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
         # Only the header line is read here: all columns stay text. A file of the folder
         # whose columns differ in name or order raises when it is read.
         options = dict(header=True, enforceSchema=False, sep=dataset.delimiter, encoding=dataset.encoding, escape='"')
-        options["multiLine"] = dataset.line_breaks
-        raw = spark.read.options(**options).csv(path)
+        by_ranges = dataset.line_breaks and dataset.encoding.lower() in ("utf-8", "utf8")
+        if by_ranges or dataset.bad_records:
+            if not by_ranges:
+                raise ValueError("bad records are kept from UTF-8 files with line_breaks only")
+            raw = read_quoted(spark, path, dataset.delimiter, dataset.bad_records)
+        else:
+            raw = spark.read.options(**options, multiLine=dataset.line_breaks).csv(path)
         return raw.select(*[F.when(~F.col(f"`{c}`").isin(NO_VALUE), F.col(f"`{c}`")).alias(c) for c in raw.columns])
     if dataset.file_type == "parquet":
         return spark.read.parquet(path)
