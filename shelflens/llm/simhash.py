@@ -261,11 +261,19 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", rad
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The row with the smallest id of each component (see ``near_duplicates``); of repeated rows one stays."""
-    row, names = f"{MARK}row", docs.columns
+    """The row with the smallest id of each component (see ``near_duplicates``); of repeated rows one stays.
+
+    Which rows stay is found without texts, so these are shuffled once.
+    """
+    who, whole, row, names = f"{MARK}who", f"{MARK}whole", f"{MARK}row", docs.columns
     plain = docs.select(*[F.col(c).alias(f"{MARK}{i}") for i, c in enumerate(names)])
     id, text = f"{MARK}{names.index(id)}", f"{MARK}{names.index(text)}"
-    found = _labelled(plain, id, text, radius, plain.columns).filter(F.col(id).eqNullSafe(F.col("component_id")))
-    order = Window.partitionBy(f"{MARK}root").orderBy("fingerprint", F.xxhash64(text))
+    plain = plain.withColumn(whole, F.xxhash64(text))
+    found = _labelled(plain, id, text, radius, [id, whole]).filter(F.col(id).eqNullSafe(F.col("component_id")))
+    order = Window.partitionBy(f"{MARK}root").orderBy("fingerprint", whole)
     found = found.withColumn(row, F.row_number().over(order)).filter(F.col(row) == 1)
-    return found.select(*[F.col(f"{MARK}{i}").alias(c) for i, c in enumerate(names)])
+    # Id and text as one value, in which a null equals a null.
+    pair = F.struct(F.col(id).alias("id"), F.col(whole).alias("whole")).alias(who)
+    stay = write_once(found.select(pair), "stay")
+    kept = plain.select("*", pair).join(stay, who, "left_semi").dropDuplicates([who])
+    return kept.select(*[F.col(f"{MARK}{i}").alias(c) for i, c in enumerate(names)])
