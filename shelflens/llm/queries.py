@@ -65,7 +65,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
-    return found.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+    return found.select("doc_id", "size", "source_size", "target", "taken", "copies", "expected", "source")
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

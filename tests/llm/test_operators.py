@@ -342,6 +342,80 @@ def test_mix_comes_near_its_targets(spark):
     assert all(0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size for r in first)
 
 
+def slow_mix(rows, config, weigh):
+    """Copies per document: classes of weight filled up to the target, Pareto order, a cut where the words come nearest."""
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    weights, total = {s: config.weights[i % 3] for i, s in enumerate(sorted(sizes))}, sum(sizes.values())
+
+    def solve(want, size, weight):
+        low, high = 0.0, 1e12
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(mid * weight[k], 3.0) * size[k] for k in size) < want else (low, mid)
+        return high
+
+    level = solve(total, sizes, {s: weights[s] / sizes[s] for s in sizes})
+    copies, expected = {}, {}
+    for s in sizes:
+        target = min(level * weights[s], 3 * sizes[s])
+        mine = [(i, len(t.split()), t) for i, t, x in rows if x == s]
+        step = {i: int(np.floor(np.log2(weigh(n)) * 8 + 1e-9)) for i, n, _ in mine}
+        per = {k: sum(n for i, n, _ in mine if step[i] == k) for k in set(step.values())}
+        lam = solve(target, per, {k: 2 ** (k / 8) for k in per})
+        keys, need = [], target
+        for i, n, t in mine:
+            e = min(lam * 2 ** (step[i] / 8), 3.0)
+            whole = int(e + 1e-9)
+            part, copies[i], expected[i] = max(e - whole, 0), whole, e
+            need -= whole * n
+            text = f"{config.seed}\x1f{i}\x1f{hashlib.md5(t.encode()).hexdigest()}"
+            u = (int(hashlib.md5(text.encode()).hexdigest()[:8], 16) + 0.5) / 2**32
+            if part > 1e-9:
+                keys.append((u * (1 - part) / ((1 - u) * part), i, n))
+        at = 0
+        for _, i, n in sorted(keys):
+            if at + n / 2 > need:
+                break
+            copies[i] += 1
+            at += n
+    return copies, expected
+
+
+@pytest.mark.parametrize("power", [0.5, 1.0, 0.0])
+def test_mix_takes_what_pareto_order_says(spark, power):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(["w"] * int(rng.integers(1, 400)) + [str(i)]), "abc"[i % 3] if i % 4 else "a") for i in range(600)]
+    config = mixing.MixConfig(size_power=power)
+    want, expected = slow_mix(rows, config, lambda n: n**power)
+    found = by_id(mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), config))
+    assert {i: r.copies for i, r in found.items()} == want
+    assert all(r.expected == pytest.approx(expected[i], abs=1e-6) for i, r in found.items())
+    assert len({round(r.expected, 6) for r in found.values()}) > (10 if power else 0)
+
+
+def test_inclusion_rates_follow_the_wanted_ones(spark):
+    """Among documents of one weight, the share that gets one more copy is their inclusion probability."""
+    df = spark.range(0, 40_000, 1, 4).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), F.pow(F.lit(4), F.col("id") % 4).cast("int")).alias("text"), F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("source")
+    )
+    found = mixing.mix(df, keep=["source"]).groupBy("source", "size").agg(F.count("*").alias("n"), F.avg("copies").alias("rate"), F.first("expected").alias("e"))
+    rows = found.collect()
+    assert len(rows) == 8 and len({round(r.e, 4) for r in rows}) >= 5
+    for r in rows:
+        part = r.e - int(r.e + 1e-9)
+        assert abs(r.rate - r.e) <= 5 * (part * (1 - part) / r.n) ** 0.5 + 0.01, r
+
+
+def test_weights_may_be_given(spark):
+    rows = [(i, "a b c d", "s", float(1 + i % 2)) for i in range(2000)] + [(5000, "a b", "s", None), (5001, "", "s", 1.0), (6000, "x " * 9000, "t", 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, quality double")
+    found = by_id(mixing.mix(df, weight=F.col("quality")))
+    rate = lambda k: np.mean([r.copies for i, r in found.items() if i < 2000 and i % 2 == k])
+    assert rate(1) == pytest.approx(2 * rate(0), rel=0.1) and found[5000].taken == found[5001].taken == 0
+
+
 def test_repeated_rows_are_told_apart(spark):
     df = spark.createDataFrame([(None, "a b c d", "s")] * 90 + [(1, "x y", "t")] * 300, "doc_id long, text string, source string").repartition(4)
     found = mixing.mix(df).collect()
