@@ -42,6 +42,11 @@ NOISE_NAMES = frozenset(
     " header masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination popup promo promoted related"
     " replies reply search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words that say nothing beside one of these: a name of such words only is one of them too.
+NEUTRAL_NAMES = frozenset("area bar block bottom box container content global inner item left links list main outer page panel primary right secondary section site slot top wrap wrapper".split())
+COMMENT_NAMES = frozenset("comment comments replies reply disqus".split())
+# Elements that hold markup; without an end tag they hold nothing.
+MARKUP = frozenset("svg math template object noscript".split())
 # An open element of the first kind ends where one of the second starts.
 CLOSED_BY = {
     "p": BLOCKS,
@@ -54,14 +59,22 @@ CLOSED_BY = {
     "head": frozenset(["body"]),
 }
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
-NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 NAME_PART = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"\s+")
 
 
-def _names(attributes: str) -> list[str]:
-    found = " ".join(a or b or c for _, a, b, c in NAMED.findall(attributes)) if "=" in attributes else ""
-    return sorted(set(NAME_PART.findall(found.lower())))
+def _names(attributes: str) -> list[list[str]]:
+    """The words of each name in class, id and role."""
+    if "=" not in attributes:
+        return []
+    values = [a or b or c for name, a, b, c in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id", "role")]
+    return [NAME_PART.findall(name) for value in values for name in value.lower().split()]
+
+
+def _marks(names: list[list[str]], words: frozenset[str]) -> bool:
+    """Whether a name consists of ``words``, neutral ones aside."""
+    return any(not words.isdisjoint(name) and all(part in words or part in NEUTRAL_NAMES for part in name) for name in names)
 
 
 class Page:
@@ -76,11 +89,15 @@ class Page:
         self._home = self._stack[0]
         self._read(source)
 
+    def _block(self) -> tuple[str, str, bool, bool]:
+        """The innermost open block: text belongs to it, whatever inline elements are open or were."""
+        return next((e for e in reversed(self._stack) if e[0] in BLOCKS), self._stack[0])
+
     def _flush(self) -> None:
         text = SPACE.sub(" ", "".join(self._text)).strip()
         if text and not self._home[2]:
             self.blocks.append((self._home[1], " ".join(self._styles), text) if not self._home[3] else (self._home[1], " ".join(self._styles), "\x00" + text))
-        self._text, self._styles, self._home = [], [], self._stack[-1]
+        self._text, self._styles, self._home = [], [], self._block()
 
     def _write(self, raw: str) -> None:
         if raw and not self._stack[-1][2]:
@@ -99,7 +116,7 @@ class Page:
         names = _names(attributes)
         _, path, noise, article = self._stack[-1]
         if name in BLOCKS:
-            last = ".".join([name, *names])
+            last = ".".join([name, *sorted({part for one in names for part in one})])
             # Runs of equal elements are one node; nesting of the same element too.
             path = path if path.rpartition(">")[2] == last else f"{path}>{last}" if path else last
         elif name == "br":
@@ -109,13 +126,15 @@ class Page:
             self._styles.append(name)
         if name in VOID:
             if name == "hr":
-                self._home = self._stack[-1]
+                self._home = self._block()
             return
+        # An article's own header holds its title; an article in an article may be a comment, as may be one that says so.
+        exempt = name in ("main", "body", "html") or name == "article" and not article
+        marked = _marks(names, COMMENT_NAMES if exempt and name == "article" else NOISE_NAMES) and (not exempt or name == "article")
+        bad = name in NOISE and not (name == "header" and article) or marked
         article = article or name in ("article", "main")
-        self.has_article = self.has_article or article
-        # An article's own header holds its title.
-        bad = name in NOISE and not (name == "header" and article) or not NOISE_NAMES.isdisjoint(names) and name not in ("article", "main", "body", "html")
         self._stack.append((name, path, noise or bad, article))
+        self.has_article = self.has_article or article and not (noise or bad)
         if name in BLOCKS:
             self._home = self._stack[-1]
 
@@ -125,7 +144,7 @@ class Page:
                 if any(n in BLOCKS for n, *_ in self._stack[depth:]):
                     self._flush()
                 del self._stack[depth:]
-                self._home = self._stack[-1] if name in BLOCKS else self._home
+                self._home = self._block()
                 return
 
     def _read(self, source: str) -> None:
@@ -149,8 +168,8 @@ class Page:
                 continue
             self._open(name, found[3])
             if name in RAW:  # its text ends at its own end tag only
-                end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = end.end() if end else len(source)
+                end = None if name in ("svg", "math") and found[3].endswith("/") else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+                at = end.end() if end else at if name in MARKUP else len(source)
                 if self._stack[-1][0] == name:
                     self._stack.pop()
         self._write(source[at:])

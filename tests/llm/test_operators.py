@@ -112,6 +112,29 @@ def test_page_blocks():
     assert [t for _, _, t in sitetree.page_blocks("a < b <p>c")] == ["a < b", "c"]
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div><button><div>x</div></button>Main text here</div>", ["Main text here"]),
+        ('<div><a class="share"><div>x</div></a>Main text here</div>', ["Main text here"]),
+        ("<aside><article>teaser</article></aside><div><p>Main body text</p></div>", ["Main body text"]),
+        ("<div><p>One</p><svg/><p>Two</p></div>", ["One", "Two"]),
+        ("<div><p>One</p><template><p>Two</p></div>", ["One", "Two"]),
+        ("<div><p>One</p><svg><text>x</text></svg><p>Two</p></div>", ["One", "Two"]),
+        ('<div data-role="ad"><p>Main</p></div>', ["Main"]),
+        ('<div title="class=ad"><p>Main</p></div>', ["Main"]),
+        ('<article><div class="post-header"><h1>Title</h1></div><p>Text</p></article>', ["Title", "Text"]),
+        ('<div class="search-result"><p>Found</p></div>', ["Found"]),
+        ('<article><section class="related-work"><p>Others</p></section></article>', ["Others"]),
+        ('<article><p>Text</p><article class="comment">reader says</article></article>', ["Text"]),
+        ('<article><p>Text</p></article><article class="comment">reader says</article>', ["Text"]),
+        ('<div class="site-footer">f</div><div id="cookie-notice">c</div><div class="top ad">a</div><p>Text</p>', ["Text"]),
+    ],
+)
+def test_blocks_of_odd_pages(page, want):
+    assert [t for _, _, t in sitetree.page_blocks(page)] == want
+
+
 def test_style_tree_drops_what_pages_share(spark):
     rows = [(i, "http://h.org/x", f"<body><div class=top>Same words</div><div class=text><p>Story {i} {i * 7}</p></div>") for i in range(20)]
     rows += [(100, None, None), (101, "odd", ""), (102, "http://h.org/y", "<body><div class=top>Same words</div>")]
@@ -128,6 +151,15 @@ def test_pages_of_the_tables(spark):
         assert r.text == "\n\n".join(filter(None, blocks))
 
 
+def test_awkward_pages(spark):
+    """Nulls, repeats, a very long page, clashing columns and no pages."""
+    rows = [(1, "http://h/1", "<p>a</p>" * 3, "t", 1)] * 2 + [(2, None, None, "t", 2), (None, "x", "", "t", 3), (3, "http://h/2", "<p>" + "long " * 200_000, "t", 4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, host int")
+    found = sorted((r.page_id or 0, len(r.text), r.host) for r in sitetree.main_text(df).collect())
+    assert found == [(0, 0, 3), (1, 7, 1), (1, 7, 1), (2, 0, 2), (3, 999_999, 4)]
+    assert sitetree.main_text(df.limit(0)).count() == 0
+
+
 # Quality
 
 
