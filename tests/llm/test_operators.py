@@ -232,6 +232,16 @@ def test_ids_like_the_library(docs, odd, ranks):
     assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_folded_words_like_the_library(spark, docs, ranks):
+    """The fold of built-in functions, with the first 3000 ranks."""
+    few = {token: rank for token, rank in ranks.items() if rank < 3000}
+    library = tiktoken.Encoding("few", pat_str=public_tokenizers.PATTERN, mergeable_ranks=few, special_tokens={})
+    words = sorted({w for r in docs.limit(20).collect() for w in r.text.split()}, key=lambda w: hashlib.md5(w.encode()).hexdigest())[:200]
+    words += ["", "a", "é漢\U0001f600", "thethethethe"]
+    found = bpe.fold_words(spark.createDataFrame([(w,) for w in words], "word string").repartition(4), few).collect()
+    assert {r.word: list(r.ids) for r in found} == {w: list(library._encode_single_piece(w.encode())) if w else [] for w in words}
+
+
 def test_white_space_and_long_words(ranks):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
