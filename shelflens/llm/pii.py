@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -128,9 +129,21 @@ def cooccurrence(docs: DataFrame, config: PiiConfig, text: str) -> DataFrame:
 
 def _words_with(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
     """Distinct (text hash, term) of all texts that hold one of the terms: the way for any number of terms."""
-    cleaned = F.regexp_replace(F.lower(F.col("word")), r"^[.,;:!?\"'()\[\]{}<>|*#$%&]+|[.,;:!?\"'()\[\]{}<>|*#$%&]+$", "")
-    rows = docs.select(F.sha2(F.col(text).cast("binary"), 256).alias("sha"), F.explode(F.array_distinct(F.split(text, WORD_BREAK))).alias("word"))
-    return rows.select("sha", cleaned.alias("term")).join(terms, "term", "left_semi").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shas, found = [], []
+            for one in batch.column(0).to_pylist():
+                mine = all_terms(one)
+                shas += [hashlib.sha256(one.encode()).hexdigest()] * len(mine)
+                found += mine
+                if len(found) >= 1 << 16:
+                    yield pa.RecordBatch.from_arrays([pa.array(shas, pa.string()), pa.array(found, pa.string())], names=["sha", "term"])
+                    shas, found = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(shas, pa.string()), pa.array(found, pa.string())], names=["sha", "term"])
+
+    rows = docs.filter(F.col(text).isNotNull()).select(text).mapInArrow(run, "sha string, term string")
+    return rows.join(terms, "term", "left_semi").distinct()
 
 
 def disclosing_terms(docs: DataFrame, config: PiiConfig = PiiConfig(), text: str = "text") -> DataFrame:
@@ -170,9 +183,13 @@ def _document_counts(docs: DataFrame, terms: DataFrame, config: PiiConfig, text:
     return docs.select(text).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("documents"))
 
 
-def terms_of(text: str | None, wanted: set[str]) -> set[str]:
+def all_terms(text: str | None) -> set[str]:
     words = {w.decode() for w in set(text.encode().split())} if text else set()
-    return {plain_term(w) for w in words} & wanted
+    return {plain_term(w) for w in words}
+
+
+def terms_of(text: str | None, wanted: set[str]) -> set[str]:
+    return all_terms(text) & wanted
 
 
 def _term_spans(text: str, wanted: set[str], spans: list[Span]) -> list[Span]:

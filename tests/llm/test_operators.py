@@ -100,6 +100,14 @@ def test_disclosing_terms(spark):
         assert found[37].clean_text == "zebra# alone" and found[10].clean_text == texts[10]
 
 
+def test_terms_are_the_same_however_many_there_are(spark):
+    texts = [f"w{i} project İdil,\u2028 run ann@corp.com" for i in range(6)] + ["İDIL run", "idil,", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few, many = (by_id(pii.sanitise(df, config)) for config in (pii.PiiConfig(), pii.PiiConfig(broadcast_terms=0)))
+    assert {i: (r.spans, r.clean_text) for i, r in few.items()} == {i: (r.spans, r.clean_text) for i, r in many.items()}
+    assert any(s.kind == "term" for s in few[0].spans)
+
+
 # Pages
 
 
