@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ KEPT = 1 << 18
 LONGEST = 256
 # Rows put out at a time, as ids take more room than text.
 ROWS = 512
+# Bytes of texts that are encoded together, about.
+PART_BYTES = 1 << 20
 # Pieces up to this many bytes are merged by repeated scans, longer ones with a heap.
 SHORT = 48
 
@@ -176,22 +179,34 @@ class Encoder:
         return out
 
 
-def encode(docs: DataFrame, ranks: Ranks, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds the token ids of a text column as ``array<int>``; null and empty texts have none.
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows (start, length) of at most ROWS texts and about PART_BYTES; a longer text is one by itself."""
+    start = held = 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > start and (i - start >= ROWS or held + size > PART_BYTES):
+            yield start, i - start
+            start, held = i, 0
+        held += size
+    if len(texts) > start:
+        yield start, len(texts) - start
+
+
+def encode(docs: DataFrame, ranks: Ranks, pattern: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """``keep`` (default: all columns) with the token ids of a text column as ``array<int>``; null and empty texts have none.
 
     Every match of ``pattern`` is encoded by itself, without special tokens. Nothing
     is shuffled. A task keeps the ids of distinct words (about ``KEPT`` at most), so
     that a frequent word is merged once; a single word of any length costs n log n. An
     extra column named ``ids`` is replaced, an empty table gives an empty result.
     """
-    keep = [c for c in docs.columns if c != ids]
+    keep = [c for c in (docs.columns if keep is None else keep) if c != ids]
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded = Encoder(shared.value, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for at, rows in _parts(batch.column(len(keep))):
+                part = batch.slice(at, rows)
                 packed = encoded(part.column(len(keep)).to_pylist())
                 ends = np.cumsum([0, *map(len, packed)]) // 4
                 flat = pa.array(np.frombuffer(b"".join(packed), np.int32))
@@ -224,7 +239,7 @@ def decode(docs: DataFrame, ranks: Ranks, ids: str = "ids", data: str = "decoded
 
 def digest(docs: DataFrame, ranks: Ranks, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids in decimal, and of the bytes that decoding them gives."""
-    found = decode(encode(docs.select(id, text), ranks, pattern, text).select(id, "ids"), ranks)
+    found = decode(encode(docs, ranks, pattern, text, keep=[id]), ranks)
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select(
         F.col(id).alias("doc_id"),
