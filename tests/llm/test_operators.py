@@ -538,7 +538,7 @@ def test_every_gram_is_kept(spark):
 
 
 def test_parts_score_like_the_whole(docs):
-    few = docs.limit(60).localCheckpoint()
+    few = docs.limit(60).checkpoint()
     count, _ = langid.train_parts(few, values=20_000)
     whole, parts = (by_id(langid.identify(few, F.lit(True), values=v)) for v in (10**9, 20_000))
     assert count > 2 and whole.keys() == parts.keys()
