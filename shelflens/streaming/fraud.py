@@ -13,12 +13,15 @@ from shelflens.config import FraudConfig
 from shelflens.operators.fraud import pattern_flags
 
 DAY_MS = 86_400_000
-# Refunds without a customer have no state; they are dealt to so many keys.
-SPREAD = 64
+# Customers share so many keys, each call of the state function serving all customers of one; refunds
+# without a customer have no state and are dealt to them by their id.
+BUCKETS = 1024
 
 # Per day and product what was refunded, and the refunds of days that are still open.
 STATE = "day array<int>, product array<string>, number array<long>, amount array<double>, open_day array<int>, open_product array<string>, open_row array<string>"
 COUNTS = "row string, refund_count long, product_refund_count long, recent_count long, recent_amount double"
+# The state of the customers of a key: that of each customer, with the customer on every entry.
+BUCKET_STATE = "customer array<string>, " + STATE.replace(", open_day", ", open_customer array<string>, open_day")
 
 
 def _counts(sums: dict[tuple, list], day: int, product: str | None, spans: tuple[int, int, int]) -> tuple:
@@ -74,6 +77,80 @@ def _watch(spans: tuple[int, int, int]):
     return run
 
 
+class _Held:
+    """One customer's state within the state of its key."""
+
+    def __init__(self, value: tuple | None, passed: int):
+        self.value, self.due, self.passed = value, None, passed
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value: tuple) -> None:
+        self.value = value
+
+    def remove(self) -> None:
+        self.value = None
+
+    def setTimeoutTimestamp(self, due: int) -> None:
+        self.due = due
+
+    def getCurrentWatermarkMs(self) -> int:
+        return self.passed
+
+
+def _watch_shared(spans: tuple[int, int, int]):
+    """The function of a key that many customers share: ``_watch`` for each of them, on its own part of the state.
+
+    Every customer of the key is looked at on each call, so that refunds whose day has
+    passed come out then; the key's timer is the earliest of its customers'.
+    """
+    one = _watch(spans)
+    names = [c.split()[0] for c in COUNTS.split(", ")]
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        passed = state.getCurrentWatermarkMs()
+        held = state.get if state.exists else ([],) * 9
+        mine: dict[str, list[list]] = {}
+        for customer, *entry in zip(*held[:5]):
+            for part, value in zip(mine.setdefault(customer, [[] for _ in range(7)])[:4], entry):
+                part.append(value)
+        for customer, *entry in zip(*held[5:]):
+            for part, value in zip(mine.setdefault(customer, [[] for _ in range(7)])[4:], entry):
+                part.append(value)
+        came = [b for b in batches if len(b)]
+        rows = pd.concat(came, ignore_index=True) if came else pd.DataFrame(columns=["customer", "day", "product", "amount", "row"])
+        given, kept = [], []
+        unknown = rows["customer"].isna()
+        if unknown.any():
+            given.extend(one((None,), iter([rows[unknown]]), _Held(None, passed)))
+        new = dict(tuple(rows[~unknown].groupby("customer", sort=False)))
+        for customer in dict.fromkeys([*mine, *new]):
+            own = _Held(tuple(mine[customer]) if customer in mine else None, passed)
+            given.extend(one((customer,), iter([new[customer]] if customer in new else []), own))
+            if own.exists:
+                kept.append((customer, own))
+        if given:
+            yield pd.concat(given, ignore_index=True)
+        if not kept:
+            if state.exists:
+                state.remove()
+            return
+        value = [[] for _ in range(9)]
+        for customer, own in kept:
+            sums, waiting = own.value[:4], own.value[4:]
+            value[0].extend([customer] * len(sums[0]))
+            for i in range(4):
+                value[1 + i].extend(sums[i])
+            value[5].extend([customer] * len(waiting[0]))
+            for i in range(3):
+                value[6 + i].extend(waiting[i])
+        state.update(tuple(value))
+        state.setTimeoutTimestamp(max(min(own.due for _, own in kept), passed + 1))
+
+    return run
+
+
 def stream_fraud_patterns(validated: DataFrame, config: FraudConfig, delay: str = "31 days") -> DataFrame:
     """As ``fraud_patterns`` with spans of days, for a stream of validated refunds: the refunds with flags and points.
 
@@ -85,7 +162,8 @@ def stream_fraud_patterns(validated: DataFrame, config: FraudConfig, delay: str
     counts once. Refunds without a customer pass with null counts.
 
     A customer's state is one entry per day and product with refunds in the longest span, and
-    the refunds of open days; a timer removes it when the last entry expires.
+    the refunds of open days; a timer removes it when the last entry expires. Customers
+    share ``BUCKETS`` keys by their hash, so that one call serves many of them.
     """
     spans = (config.refund_window_days, config.product_window_days, config.high_value_frequent_days)
     if None in spans:
@@ -100,15 +178,15 @@ def stream_fraud_patterns(validated: DataFrame, config: FraudConfig, delay: str
     customer = F.col("customer_id").cast("string")
     keyed = once.select(
         customer.alias("customer"),
-        F.when(customer.isNull(), F.pmod(F.xxhash64("refund_id"), F.lit(SPREAD))).otherwise(0).alias("part"),
+        F.pmod(F.xxhash64(F.coalesce(customer, F.col("refund_id"))), F.lit(BUCKETS)).alias("bucket"),
         "_time",
         F.unix_date(F.to_date("refund_date")).alias("day"),
         F.col("product_id").cast("string").alias("product"),
         F.col("refund_amount").cast("double").alias("amount"),
         F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("row"),
     )
-    counted = keyed.groupBy("customer", "part").applyInPandasWithState(
-        _watch(spans), COUNTS, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    counted = keyed.groupBy("bucket").applyInPandasWithState(
+        _watch_shared(spans), COUNTS, BUCKET_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     rows = counted.withColumn("r", F.from_json("row", validated.schema)).select("r.*", *[c.split()[0] for c in COUNTS.split(", ")[1:]])
     return pattern_flags(rows, config)

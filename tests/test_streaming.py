@@ -11,7 +11,7 @@ from shelflens.config import FraudConfig
 from shelflens.operators import affinity as aff
 from shelflens.operators.fraud import fraud_patterns
 from shelflens.streaming.affinity import stream_pair_counts, write_batches
-from shelflens.streaming.fraud import DAY_MS, _watch, stream_fraud_patterns
+from shelflens.streaming.fraud import DAY_MS, _watch, _watch_shared, stream_fraud_patterns
 
 LINES = "line_item_id long, transaction_id long, product_id string, sold_at timestamp"
 START = "2024-01-01 00:00:00"
@@ -181,3 +181,29 @@ def test_state_is_bounded_by_the_longest_span():
 def test_spans_must_be_named(spark):
     with pytest.raises(ValueError):
         stream_fraud_patterns(refunds_of(spark, []), FraudConfig())
+
+
+def test_customers_sharing_a_key_count_as_on_keys_of_their_own():
+    """One call serves all customers of a key, with what each would get alone; the key's timer is their earliest."""
+    spans, shared, alone = (30, 60, 30), State(), {c: State() for c in "xyz"}
+    run, one, got, want = _watch_shared(spans), _watch(spans), [], []
+    rng = random.Random(5)
+    for day in range(100, 400, 3):
+        passed = max(0, day - 10) * DAY_MS
+        rows = [(rng.choice(["x", "y", "z", None]), day - rng.randrange(5), rng.choice(["a", "b", None]), rng.choice([10.0, None])) for _ in range(rng.randrange(4))]
+        batch = pd.DataFrame({"customer": [r[0] for r in rows], "day": [r[1] for r in rows], "product": [r[2] for r in rows], "amount": [r[3] for r in rows], "row": [f"r{day}-{i}" for i in range(len(rows))]})
+        shared.passed = passed
+        got.extend(run((0,), iter([batch]), shared))
+        for c, state in alone.items():
+            state.passed = passed
+            own = batch[batch["customer"] == c]
+            if len(own) or (state.exists and state.due < passed):
+                want.extend(one((c,), iter([own]), state))
+        want.extend(one((None,), iter([batch[batch["customer"].isna()]]), State()))
+    assert shared.due == min(s.due for s in alone.values() if s.exists)
+    for c, state in alone.items():
+        state.passed = shared.passed = 10_000 * DAY_MS
+        want.extend(one((c,), iter([]), state))
+    got.extend(run((0,), iter([]), shared))
+    table = lambda frames: sorted(map(tuple, pd.concat(frames).astype(str).values.tolist()))
+    assert table(got) == table(want) and len(table(got)) > 50 and not shared.exists
