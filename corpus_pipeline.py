@@ -59,7 +59,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # A text goes through one step only; whether decoding gives it back is told by its digest.
     text = F.coalesce("text", F.lit(""))
     plain = docs.select("doc_id", text.alias("text"), F.sha2(text.cast("binary"), 256).alias("sha"))
-    found = bpe.decode(bpe.encode(plain, ranks, public_tokenizers.PATTERN, keep=["doc_id", "sha"]), ranks)
+    found = bpe.encode(plain, ranks, public_tokenizers.PATTERN, keep=["doc_id", "sha"], decoded="decoded")
     whole = F.sha2("decoded", 256) == F.col("sha")
     return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), whole.alias("round_trip"))
 

@@ -191,19 +191,24 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield start, len(texts) - start
 
 
-def encode(docs: DataFrame, ranks: Ranks, pattern: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: Ranks, pattern: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None, decoded: str | None = None
+) -> DataFrame:
     """``keep`` (default: all columns) with the token ids of a text column as ``array<int>``; null and empty texts have none.
 
     Every match of ``pattern`` is encoded by itself, without special tokens. Nothing
     is shuffled. A task keeps the ids of distinct words (about ``KEPT`` at most), so
     that a frequent word is merged once; a single word of any length costs n log n. An
     extra column named ``ids`` is replaced, an empty table gives an empty result.
+    ``decoded`` names a further column: the bytes of the ids, decoded as ``decode`` does
+    in the same Python worker, so that a task holds one worker and one vocabulary.
     """
-    keep = [c for c in (docs.columns if keep is None else keep) if c != ids]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (ids, decoded)]
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded = Encoder(shared.value, pattern)
+        piece = {rank: token for token, rank in shared.value.items()}.__getitem__ if decoded else None
         for batch in batches:
             for at, rows in _parts(batch.column(len(keep))):
                 part = batch.slice(at, rows)
@@ -211,9 +216,14 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, text: str = "text", ids:
                 ends = np.cumsum([0, *map(len, packed)]) // 4
                 flat = pa.array(np.frombuffer(b"".join(packed), np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*keep, ids])
-
-    schema = with_field(docs.select(*keep).schema, **{ids: ArrayType(IntegerType())})
+                columns, names = [*part.columns[:-1], lists], [*keep, ids]
+                if piece:
+                    columns.append(pa.array([b"".join(map(piece, np.frombuffer(one, np.int32).tolist())) for one in packed], pa.binary()))
+                    names.append(decoded)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    fields = {ids: ArrayType(IntegerType())} | ({decoded: BinaryType()} if decoded else {})
+    schema = with_field(docs.select(*keep).schema, **fields)
     return docs.select(*keep, F.col(text).alias(f"{MARK}text")).mapInArrow(run, schema)
 
 
@@ -239,7 +249,7 @@ def decode(docs: DataFrame, ranks: Ranks, ids: str = "ids", data: str = "decoded
 
 def digest(docs: DataFrame, ranks: Ranks, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids in decimal, and of the bytes that decoding them gives."""
-    found = decode(encode(docs, ranks, pattern, text, keep=[id]), ranks)
+    found = encode(docs, ranks, pattern, text, keep=[id], decoded="decoded")
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select(
         F.col(id).alias("doc_id"),

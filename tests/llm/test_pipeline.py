@@ -39,6 +39,14 @@ def test_awkward_rows(spark, odd, empty):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
 
 
+
+def test_token_ids_one_python_step(spark, odd):
+    """Ids are decoded in the worker that encodes them: one Python step a task, and every text comes back."""
+    for table in (odd, spark.read.parquet(f"{SF}/documents.parquet")):
+        found = corpus_pipeline.token_ids(spark, table, "")
+        assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert found.count() == table.count() and found.filter("not round_trip").count() == 0
+
 def test_near_duplicates_like_all_pairs(spark):
     """Copies with changed words, a large group of copies of one text, a common line, and short and blank texts."""
     rng = random.Random(4)
