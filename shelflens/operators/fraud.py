@@ -204,7 +204,12 @@ def fraud_patterns(
     """
     base = validated if refunds is None else refunds
     df = join_behaviour(validated, write_once(refund_behaviour(base), "refund_behaviour"))
-    if config.refund_window_days is not None:
+    # A frequent window as long as the refund window is the same table: joined once, each wide row is shuffled once less.
+    shared = config.high_value_frequent_enabled and config.high_value_frequent_days == config.refund_window_days
+    if shared:
+        df = _join_recent(df.drop("refund_count"), base, ["customer_id"], config.refund_window_days, "recent_count", "recent_amount")
+        df = df.withColumn("refund_count", F.col("recent_count"))
+    elif config.refund_window_days is not None:
         df = _join_recent(df.drop("refund_count"), base, ["customer_id"], config.refund_window_days, "refund_count")
     if config.product_window_days is not None:
         df = _join_recent(
@@ -214,7 +219,9 @@ def fraud_patterns(
             config.product_window_days,
             "product_refund_count",
         )
-    if config.high_value_frequent_enabled:
+    if shared:
+        df = df.select(*[c for c in df.columns if c not in ("recent_count", "recent_amount")], "recent_count", "recent_amount")
+    elif config.high_value_frequent_enabled:
         df = _join_recent(
             df, base, ["customer_id"], config.high_value_frequent_days, "recent_count", "recent_amount"
         )

@@ -172,3 +172,19 @@ def test_suspicious_customers_of_doubled_master(spark):
     worst = table.filter("customer_id = 12").first()
     assert worst["total_refunds_count"] == 8  # every refund twice, as the join gives them
     assert table.count() == table.select("customer_id").distinct().count()
+
+
+def test_equal_windows_join_once(spark):
+    """A frequent window as long as the refund window is joined once, with the same columns and counts."""
+    data = [refund(f"r{i}", customer=1 + i % 3, day=date(2024, 1, 1) + timedelta(days=i % 40), amount=60.0) for i in range(30)]
+    validated = frd.validate_refunds(enriched(spark, *data))
+    config = replace(FraudConfig(), refund_window_days=30, product_window_days=60, high_value_frequent_enabled=True)
+    same, apart = frd.fraud_patterns(validated, config), frd.fraud_patterns(validated, replace(config, high_value_frequent_days=31))
+
+    def joins(df):
+        return str(df._jdf.queryExecution().optimizedPlan()).count("Join LeftOuter")
+
+    assert joins(same) == joins(apart) - 1
+    assert same.columns == apart.columns
+    assert same.filter("recent_count IS DISTINCT FROM refund_count").count() == 0
+    assert same.filter("recent_amount IS NULL").count() == 0
