@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import roles
@@ -29,7 +29,7 @@ from shelflens.plans.increments import add_increment
 from shelflens.plans.runs import AFFINITY_THRESHOLDS, FRAUD_THRESHOLDS, INVENTORY_THRESHOLDS
 from shelflens.sources import readers, sinks
 from shelflens.sources.readers import load_dataset, load_layer
-from shelflens.sources.shared import shared_folder, write_once
+from shelflens.sources.shared import move_path, shared_folder, write_once
 from shelflens.streaming.affinity import stream_pair_counts, write_batches
 from shelflens.streaming.fraud import stream_fraud_patterns
 
@@ -1181,22 +1181,28 @@ def fraud_run_report(spark, sf):
 # --- streams -----------------------------------------------------------------
 
 
-def _replayed(spark: SparkSession, rows: DataFrame, arrived: str, closing: DataFrame, name: str, stream) -> str:
+def _replayed(spark: SparkSession, rows: DataFrame, arrived: str, dated: str, last: Callable[[Column], Column], name: str, stream) -> str:
     """Run a stream over rows that arrive year by year, some of them twice; it is stopped and started again in between.
 
     ``stream`` makes a writer from the streaming frame, an output and a checkpoint
-    folder; ``closing`` is what arrives last. Returns the output folder.
+    folder. What arrives last is a row of nulls but for ``dated``, which is ``last`` of
+    its latest value. Returns the output folder.
     """
     base = _folder(spark, name)
-    rows = write_once(rows, name)
-    years = [r[0] for r in rows.select(F.year(arrived).alias("y")).distinct().orderBy("y").collect()]
-    schema = rows.drop(arrived).schema
+    columns, schema = rows.drop(arrived).columns, rows.drop(arrived).schema
+    # Written once, a folder per year, which is moved to the stream's input when it arrives.
+    twice = F.when(F.xxhash64(*columns) % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    sent = rows.select(*columns, F.year(arrived).alias("_year"), F.explode(twice).alias("_time")).filter("_year IS NOT NULL")
+    sent.drop("_time").write.partitionBy("_year").parquet(f"{base}/rows")
+    years = [r[0] for r in spark.read.parquet(f"{base}/rows").select("_year").distinct().orderBy("_year").collect()]
     for year in [*years, None]:
-        part = closing if year is None else rows.filter(F.year(arrived) == year).drop(arrived)
         if year is not None:
-            part = part.unionByName(part.filter(F.xxhash64(*part.columns) % 20 == 0))
-        part.select(*schema.fieldNames()).write.mode("append").parquet(f"{base}/in")
-        frame = spark.readStream.schema(schema).parquet(f"{base}/in")
+            move_path(spark, f"{base}/rows/_year={year}", f"{base}/in/{year}")
+        else:
+            found = spark.read.schema(schema).parquet(f"{base}/in/*")
+            closing = [(last(F.max(c)) if c == dated else F.lit(None).cast(t)).alias(c) for c, t in found.dtypes]
+            found.agg(*closing).write.parquet(f"{base}/in/closing")
+        frame = spark.readStream.schema(schema).parquet(f"{base}/in/*")
         running = stream(frame, f"{base}/out", f"{base}/checkpoint").trigger(availableNow=True).start()
         running.awaitTermination()
     return f"{base}/out"
@@ -1213,13 +1219,14 @@ def _replayed(spark: SparkSession, rows: DataFrame, arrived: str, closing: DataF
 def streamed_pair_counts(spark, sf):
     """Lines replayed in the order of arrival, some sent twice: pair counts per week as in the batch."""
     lines = roles.sale_lines(spark, sf)
-    last = F.max("sold_at") + F.expr("INTERVAL 60 DAYS")
-    closing = lines.agg(*[(last if c == "sold_at" else F.lit(None).cast(t)).alias(c) for c, t in lines.drop("arrived").dtypes])
+
+    def last(latest):
+        return latest + F.expr("INTERVAL 60 DAYS")
 
     def stream(frame, out, checkpoint):
         return write_batches(stream_pair_counts(frame, "7 days", "31 days"), out, checkpoint)
 
-    found = spark.read.parquet(_replayed(spark, lines, "arrived", closing, "sale_lines", stream))
+    found = spark.read.parquet(_replayed(spark, lines, "arrived", "sold_at", last, "sale_lines", stream))
     return found.select(F.to_date("window.start").alias("week"), "product_a", "product_b", "pair_count")
 
 
@@ -1231,13 +1238,14 @@ def streamed_fraud_patterns(spark, sf):
     # Ids of the tables recur on different refunds, which a stream would take for one that is sent again.
     refunds = refunds.withColumn("refund_id", F.concat_ws("|", "refund_id", F.xxhash64(*refunds.columns)))
     refunds = refunds.withColumn("arrived", F.date_add("refund_date", late))
-    last = F.date_add(F.max("refund_date"), 100)
-    closing = refunds.agg(*[(last if c == "refund_date" else F.lit(None).cast(t)).alias(c) for c, t in refunds.drop("arrived").dtypes])
+
+    def last(latest):
+        return F.date_add(latest, 100)
 
     def stream(frame, out, checkpoint):
         return write_batches(stream_fraud_patterns(frd.validate_refunds(frame), OPTIONAL, "31 days"), out, checkpoint)
 
-    found = spark.read.parquet(_replayed(spark, refunds, "arrived", closing, "refunds", stream))
+    found = spark.read.parquet(_replayed(spark, refunds, "arrived", "refund_date", last, "refunds", stream))
     found = found.filter("refund_id IS NOT NULL")  # all but the closing row
     found = found.withColumn("refund_id", F.substring_index("refund_id", "|", 1))
     return found.select("refund_id", "refund_amount", "refund_count", "product_refund_count", "fraud_flags", "fraud_score")

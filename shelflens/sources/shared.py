@@ -26,6 +26,14 @@ def delete_path(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def move_path(spark: SparkSession, name: str, to: str) -> None:
+    path, target = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(n) for n in (name, to))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    if not system.rename(path, target):
+        raise OSError(f"{name} could not be moved to {to}")
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches of a plan need, and return the written table.
 
