@@ -1,16 +1,17 @@
-"""Behaviour rules on a stream of refunds: counts over the last days, kept per customer until they expire."""
+"""Behaviour rules on a stream of refunds: counts over the last days, of refunds that are carried over until they expire."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shelflens.config import FraudConfig
 from shelflens.operators.fraud import pattern_flags
+from shelflens.streaming.carried import Carried, micros
 
 DAY_MS = 86_400_000
 # Customers share so many keys, each call of the state function serving all customers of one; refunds
@@ -40,7 +41,7 @@ def _counts(sums: dict[tuple, list], day: int, product: str | None, spans: tuple
 
 
 def _watch(spans: tuple[int, int, int]):
-    """The function of a customer's state: collects refunds, and gives out those of days that the watermark has passed."""
+    """The function of one customer's state: collects refunds, and gives out those of days that the watermark has passed."""
     names = [c.split()[0] for c in COUNTS.split(", ")]
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -151,7 +152,14 @@ def _watch_shared(spans: tuple[int, int, int]):
     return run
 
 
-def stream_fraud_patterns(validated: DataFrame, config: FraudConfig, delay: str = "31 days") -> DataFrame:
+def _spans(config: FraudConfig) -> tuple[int, int, int]:
+    spans = (config.refund_window_days, config.product_window_days, config.high_value_frequent_days)
+    if None in spans:
+        raise ValueError("a stream needs refund_window_days and product_window_days")
+    return spans
+
+
+def stream_fraud_patterns(validated: DataFrame, config: FraudConfig, delay: str = "31 days") -> Carried:
     """As ``fraud_patterns`` with spans of days, for a stream of validated refunds: the refunds with flags and points.
 
     ``config`` must name ``refund_window_days`` and ``product_window_days``. A refund is
@@ -161,13 +169,51 @@ def stream_fraud_patterns(validated: DataFrame, config: FraudConfig, delay: str
     than the delay are left out, as are those without a date; one that is sent again
     counts once. Refunds without a customer pass with null counts.
 
+    Carried over are the refunds of open days, and of those before, for the longest span,
+    what counts need. Counts are made per customer, product and day and joined to the refunds.
+    """
+    spans = _spans(config)
+    day, day_length = F.unix_date(F.to_date("refund_date")), DAY_MS * 1000
+    time = day.cast("long") * day_length
+    late = micros(validated.sparkSession, delay)
+
+    def flagged(due: DataFrame, kept: DataFrame) -> DataFrame:
+        # As in the sums of a state: an amount that is missing or no number adds nothing.
+        amount = F.coalesce(F.nanvl(F.col("refund_amount").cast("double"), F.lit(0.0)), F.lit(0.0))
+        sums = (
+            kept.filter(F.col("customer_id").isNotNull())
+            .groupBy(F.col("customer_id").alias("_customer"), F.col("product_id").alias("_product"), day.alias("_day"))
+            .agg(F.count("*").alias("_count"), F.sum(amount).alias("_amount"))
+        )
+
+        def recent(column: str, days: int, *keys: str) -> Column:
+            return F.sum(column).over(Window.partitionBy("_customer", *keys).orderBy("_day").rangeBetween(-days, Window.currentRow))
+
+        counts = sums.select(
+            "_customer",
+            "_product",
+            "_day",
+            recent("_count", spans[0]).alias("refund_count"),
+            F.when(F.col("_product").isNotNull(), recent("_count", spans[1], "_product")).alias("product_refund_count"),
+            recent("_count", spans[2]).alias("recent_count"),
+            recent("_amount", spans[2]).alias("recent_amount"),
+        )
+        match = (F.col("customer_id") == F.col("_customer")) & F.col("product_id").eqNullSafe(F.col("_product")) & (day == F.col("_day"))
+        return pattern_flags(due.join(counts, match, "left").drop("_customer", "_product", "_day"), config)
+
+    lasting = ["refund_id", "customer_id", "product_id", "refund_date", "refund_amount"]
+    return Carried(validated, "refund_id", time, time + day_length, late, max(late, (max(spans) + 1) * day_length), lasting, flagged)
+
+
+def keyed_fraud_patterns(validated: DataFrame, config: FraudConfig, delay: str = "31 days") -> DataFrame:
+    """The rows of ``stream_fraud_patterns`` as a plain streaming frame, for any sink: the state is Spark's, in memory.
+
     A customer's state is one entry per day and product with refunds in the longest span, and
     the refunds of open days; a timer removes it when the last entry expires. Customers
-    share ``BUCKETS`` keys by their hash, so that one call serves many of them.
+    share ``BUCKETS`` keys by their hash, so that one call serves many of them. For
+    micro-batches whose refunds, with those of open days, fit into the executors.
     """
-    spans = (config.refund_window_days, config.product_window_days, config.high_value_frequent_days)
-    if None in spans:
-        raise ValueError("a stream needs refund_window_days and product_window_days")
+    spans = _spans(config)
     columns = validated.columns
     once = (
         validated.filter("refund_date IS NOT NULL")
